@@ -27,7 +27,7 @@ these conventions are fixed here and used verbatim by the oracle SQL):
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from barsight.operators.series import (
@@ -57,13 +57,23 @@ ADX_LEN = 14
 SIGNAL_LEN = 9
 
 
+def relax_constraint_inference(spark) -> None:
+    """The feature plan carries ~100 aliased columns through a dozen window
+    stages; with the 32-column completeness filter on top, Catalyst's
+    constraint inference grows combinatorially and can stall planning for
+    minutes.  The plan gains nothing from it (no joins to push inferred
+    filters into), so it is switched off for the session."""
+    spark.conf.set("spark.sql.constraintPropagation.enabled", "false")
+
+
 def _div(a, b):
     return F.try_divide(a, b)
 
 
 def feature_set(prices: DataFrame, by: list[str] | tuple = ("ticker",), t: str = "date",
                 block: int = BLOCK, keep: list[str] | None = None) -> DataFrame:
-    """The 32 model features (plus ``atrr_3`` and ``rn``) for every bar.
+    """The 32 model features for every bar, plus ``rn`` (bar number),
+    ``n_bars`` (series length, A8), ``next_close`` (W3) and ``atrr_3``.
 
     ``prices`` needs ``by``, ``t``, open, high, low, close, volume.  ``by`` may
     be any series key, e.g. ``["ticker", "target_date"]`` for as-of histories.
@@ -72,6 +82,7 @@ def feature_set(prices: DataFrame, by: list[str] | tuple = ("ticker",), t: str =
     """
     by = list(by)
     keep = list(keep or [])
+    relax_constraint_inference(prices.sparkSession)
     base = prices.select(*by, t, "open", "high", "low", "close", "volume", *keep)
     df = number_rows(base, by, t, block)
     C, H, L, V = (F.col(x) for x in ("close", "high", "low", "volume"))
@@ -84,6 +95,8 @@ def feature_set(prices: DataFrame, by: list[str] | tuple = ("ticker",), t: str =
     df = df.select(
         "*",
         C1.alias("_c1"),
+        F.lead(C, 1).over(ordered(by)).alias("next_close"),
+        F.count(F.lit(1)).over(Window.partitionBy(*by)).alias("n_bars"),
         F.greatest(H - L, F.abs(H - C1), F.abs(L - C1)).alias("_tr"),
         F.when(d.isNotNull(), F.greatest(d, F.lit(0.0))).alias("_gain"),
         F.when(d.isNotNull(), F.greatest(-d, F.lit(0.0))).alias("_loss"),
@@ -169,7 +182,8 @@ def feature_set(prices: DataFrame, by: list[str] | tuple = ("ticker",), t: str =
     sma20, sd20 = F.col("sma_20"), F.col("_sd20")
     bbl, bbu = sma20 - F.lit(2.0) * sd20, sma20 + F.lit(2.0) * sd20
     out = [
-        *[F.col(x) for x in by], F.col(t), "rn", "open", "high", "low", "close", "volume", *keep,
+        *[F.col(x) for x in by], F.col(t), "rn", "n_bars", "open", "high", "low", "close", "volume",
+        "next_close", *keep,
         "sma_10", "sma_20", "sma_50", "sma_200", "ema_10", "ema_50",
         F.when(F.col("_dx_seen") >= ADX_LEN, _div(F.col("_dxn"), F.col("_dxd"))).alias("adx_14"),
         "macd_12_26_9", (macd - signal).alias("macdh_12_26_9"), signal.alias("macds_12_26_9"),

@@ -106,7 +106,8 @@ def feature_ctes(prices: str, by: list[str] | None = None, t: str = "date",
     return f"""
 f0 AS (
   SELECT {part}, {t}, open, high, low, close, volume{keep},
-         ROW_NUMBER() OVER ({w}) - 1 AS rn,
+         ROW_NUMBER() OVER ({w}) - 1 AS rn, COUNT(*) OVER (PARTITION BY {part}) AS n_bars,
+         LEAD(close) OVER ({w}) AS next_close,
          LAG(close) OVER ({w}) AS c1, LAG(close, 3) OVER ({w}) AS c3, LAG(close, 5) OVER ({w}) AS c5,
          LAG(high) OVER ({w}) AS h1, LAG(low) OVER ({w}) AS l1,
          LAST_VALUE(volume IGNORE NULLS) OVER {cum} AS vpad
@@ -162,7 +163,7 @@ f5 AS (
   FROM f4
 ),
 f6 AS (
-  SELECT {part}, {t}, rn, open, high, low, close, volume{keep},
+  SELECT {part}, {t}, rn, n_bars, open, high, low, close, volume, next_close{keep},
     sma_10, sma_20, sma_50, sma_200, ema_10, ema_50, adx_14,
     macd_12_26_9, macd_12_26_9 - macds_12_26_9 AS macdh_12_26_9, macds_12_26_9,
     rsi_14, rsi_5, stochk_14_3_3, stochd_14_3_3,
