@@ -31,8 +31,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from barsight.operators.series import (
-    BLOCK, cumsum, cumulative, decayed_sums, full_window, lag, number_rows, ordered, sma,
-    seeded_average_terms, wilder_terms,
+    BLOCK, cumsum, cumulative, decayed_sums, full_window, lag, number_rows, ordered,
+    rolling_means, sma, seeded_average_terms, wilder_terms,
 )
 
 FEATURES = [
@@ -111,15 +111,16 @@ def feature_set(prices: DataFrame, by: list[str] | tuple = ("ticker",), t: str =
         _div(F.lit(100.0) * (C - lag(C, by, 5)), lag(C, by, 5)).alias("roc_5"),
     )
 
-    # -- stage B: rolling windows and the inputs of the level-1 scans
+    # -- rolling means as O(1)-per-row block-prefix differences
+    df = rolling_means(df, [("sma_10", C, 10), ("sma_20", C, 20), ("sma_50", C, 50),
+                            ("sma_200", C, 200), ("_vsma20", V, 20)], by, block)
+
+    # -- stage B: short rolling windows and the inputs of the level-1 scans
     tr = F.col("_tr")
     stage_b = [
-        sma(C, by, 10).alias("sma_10"), sma(C, by, 20).alias("sma_20"),
-        sma(C, by, 50).alias("sma_50"), sma(C, by, 200).alias("sma_200"),
         full_window(F.stddev_pop, C, by, 20).alias("_sd20"),
         full_window(F.min, L, by, 14).alias("_ll14"),
         full_window(F.max, H, by, 14).alias("_hh14"),
-        sma(V, by, 20).alias("_vsma20"),
         cumsum(F.col("_sv"), by).alias("_obv"),
         F.try_subtract(_div(F.col("_vpad"), F.lag("_vpad", 1).over(ordered(by))),
                        F.lit(1.0)).alias("volume_delta"),

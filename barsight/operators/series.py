@@ -14,7 +14,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BLOCK = 64  # rows per scan block; r**-63 stays finite for every r >= 2/3
+BLOCK = 256  # rows per block; r**-255 stays finite for every r > 0.07
 _CUTOFF = 41.5  # exp(-41.5) < 1e-18: carried weight below double precision
 
 
@@ -73,10 +73,20 @@ def cumsum(x, by) -> Column:
 def carry_blocks(r: float, block: int = BLOCK) -> int:
     """Number of earlier blocks whose weight r**(block*k) is still above 1e-18."""
     if r <= 0.0:
-        return 1
+        return 0
     if r >= 1.0:
         raise ValueError("decayed scans need 0 <= r < 1; use cumsum for r = 1")
-    return int(math.ceil(_CUTOFF / (-block * math.log(r)))) + 1
+    return max(1, int(math.ceil(_CUTOFF / (-block * math.log(r)))))
+
+
+def _in_block(by: list[str]) -> Window:
+    return Window.partitionBy(*by, "_blk").orderBy("rn").rowsBetween(Window.unboundedPreceding, 0)
+
+
+def _block_back(by: list[str], j: int) -> Window:
+    """Frame holding exactly block ``_blk - j`` (a range frame on the block number:
+    all rows of one block share it, so it is re-evaluated once per block)."""
+    return Window.partitionBy(*by).orderBy("_blk").rangeBetween(-j, -j)
 
 
 def decayed_sums(df: DataFrame, specs: list[tuple[str, Column, float]], by: list[str],
@@ -88,39 +98,100 @@ def decayed_sums(df: DataFrame, specs: list[tuple[str, Column, float]], by: list
 
     1. inside a block of ``block`` rows: ``u_t = r^off * sum_{j<=t} b_j r^-off_j``
        (partition ``(by, _blk)``, running sum);
-    2. block ends ``e_k = u`` at ``off = block-1``; the value carried into block k
-       is ``Y_{k-1} = sum_m R^(k-1-m) e_m`` with ``R = r^block``, folded from the
-       block ends of the previous ``K`` blocks (range frame over ``_blk``);
-       older blocks weigh less than 1e-18 relative and vanish in double
+    2. block ends ``e_k = u`` at ``off = block-1``; the value carried into block
+       k is ``Y_{k-1} = sum_{j>=1} R^(j-1) e_{k-j}`` with ``R = r^block``, read
+       from the previous ``K`` blocks with one range frame per block
+       (``last(e)`` over ``_blk-j``, evaluated once per block); blocks older
+       than ``K`` weigh less than 1e-18 relative and vanish in double
        arithmetic exactly as they do in a sequential loop;
     3. ``y_t = u_t + r^(off+1) * Y_{k-1}``.
 
     ``df`` must come from :func:`number_rows` with the same ``block``.
     """
-    in_block = Window.partitionBy(*by, "_blk").orderBy("rn").rowsBetween(Window.unboundedPreceding, 0)
     off = F.col("_off")
     stage1 = []
     for name, b, r in specs:
         r = float(r)
-        scaled = F.coalesce(b, F.lit(0.0)) * F.pow(F.lit(r), -off) if r > 0 else F.coalesce(b, F.lit(0.0))
-        u = F.sum(scaled).over(in_block) * F.pow(F.lit(r), off) if r > 0 else F.coalesce(b, F.lit(0.0))
+        bb = F.coalesce(b, F.lit(0.0))
+        if r > 0:
+            u = F.sum(bb * F.pow(F.lit(r), -off)).over(_in_block(by)) * F.pow(F.lit(r), off)
+        else:
+            u = bb
         stage1.append(u.alias(f"_u_{name}"))
     df = df.select("*", *stage1)
-    stage2 = []
+    ends, carries = [], {}
     for name, _b, r in specs:
         r = float(r)
-        if r == 0.0:
-            stage2.append(F.col(f"_u_{name}").alias(name))
-            continue
         k = carry_blocks(r, block)
-        big_r = r ** block
-        ends = F.collect_list(F.when(off == block - 1, F.col(f"_u_{name}"))).over(
-            Window.partitionBy(*by).orderBy("_blk").rangeBetween(-k, -1))
-        carried = F.aggregate(ends, F.lit(0.0), lambda acc, e: acc * F.lit(big_r) + e)
-        y = F.col(f"_u_{name}") + F.pow(F.lit(r), off + 1) * carried
-        stage2.append(y.alias(name))
-    df = df.select("*", *stage2)
-    return df.drop(*[f"_u_{name}" for name, _, _ in specs])
+        end = F.when(off == block - 1, F.col(f"_u_{name}"))
+        terms = []
+        for j in range(1, k + 1):
+            col = f"_e{j}_{name}"
+            ends.append(F.last(end, ignorenulls=True).over(_block_back(by, j)).alias(col))
+            terms.append(F.lit(float(r ** block) ** (j - 1)) * F.coalesce(F.col(col), F.lit(0.0)))
+        carries[name] = (terms, r, [f"_e{j}_{name}" for j in range(1, k + 1)])
+    if ends:
+        df = df.select("*", *ends)
+    out, drop = [], []
+    for name, (terms, r, cols) in carries.items():
+        y = F.col(f"_u_{name}")
+        if terms:
+            carry = terms[0]
+            for t in terms[1:]:
+                carry = carry + t
+            y = y + F.pow(F.lit(r), off + 1) * carry
+        out.append(y.alias(name))
+        drop += cols + [f"_u_{name}"]
+    return df.select("*", *out).drop(*drop)
+
+
+def rolling_sums(df: DataFrame, specs: list[tuple[str, Column, int]], by: list[str],
+                 block: int = BLOCK) -> DataFrame:
+    """Rolling sum and non-null count over the last ``L`` rows (``L <= block``) for
+    every ``(name, x, L)``: adds ``<name>_sum`` and ``<name>_n``.
+
+    Spark re-aggregates a sliding row frame for every row (O(L) per row).  Here
+    the window sum is a difference of running sums *inside a block*, plus the
+    previous block's total when the window straddles a block edge — O(1) per
+    row, and the rounding error is that of a sum of at most ``2*block`` terms
+    (counts are exact)."""
+    off, rn = F.col("_off"), F.col("rn")
+    pre = []
+    for name, x, length in specs:
+        if length > block:
+            raise ValueError("rolling length must not exceed the block size")
+        pre += [F.sum(F.coalesce(x, F.lit(0.0))).over(_in_block(by)).alias(f"_cs_{name}"),
+                F.count(x).over(_in_block(by)).alias(f"_cc_{name}")]
+    df = df.select("*", *pre)
+    mid = []
+    for name, _x, length in specs:
+        for kind in ("cs", "cc"):
+            c = F.col(f"_{kind}_{name}")
+            mid += [F.lag(c, length).over(ordered(by)).alias(f"_{kind}l_{name}"),
+                    F.last(F.when(off == block - 1, c), ignorenulls=True)
+                    .over(_block_back(by, 1)).alias(f"_{kind}p_{name}")]
+    df = df.select("*", *mid)
+    out, drop = [], []
+    for name, _x, length in specs:
+        for kind, suffix in (("cs", "sum"), ("cc", "n")):
+            cur, lagged, prev = (F.col(f"_{kind}_{name}"), F.col(f"_{kind}l_{name}"),
+                                 F.col(f"_{kind}p_{name}"))
+            val = (F.when(rn < length, cur)
+                   .when(off >= length, cur - lagged)
+                   .otherwise(cur + prev - lagged))
+            out.append(val.alias(f"{name}_{suffix}"))
+            drop += [f"_{kind}_{name}", f"_{kind}l_{name}", f"_{kind}p_{name}"]
+    return df.select("*", *out).drop(*drop)
+
+
+def rolling_means(df: DataFrame, specs: list[tuple[str, Column, int]], by: list[str],
+                  block: int = BLOCK) -> DataFrame:
+    """W5 for several ``(name, x, L)`` at once: full-window means via :func:`rolling_sums`."""
+    df = rolling_sums(df, [(f"_rm_{n}", x, length) for n, x, length in specs], by, block)
+    out = [F.when(F.col(f"_rm_{n}_n") == length, F.col(f"_rm_{n}_sum") / F.lit(float(length))).alias(n)
+           for n, _x, length in specs]
+    drop = [c for n, _x, _l in specs for c in (f"_rm_{n}_sum", f"_rm_{n}_n")]
+    return df.select("*", *out).drop(*drop)
 
 
 def seeded_average_terms(x: Column, by: list[str], length: int, alpha: float) -> tuple[Column, Column]:

@@ -265,9 +265,8 @@ def q_pct_change(spark, root):
 
 
 def q_rolling_mean(spark, root):
-    df = _numbered(spark, root)
-    return df.select("ticker", "date", S.sma(F.col("volume"), ["ticker"], 20).alias("_m")) \
-        .select("ticker", "date", r4("_m", "volume_sma_20"))
+    df = S.rolling_means(_numbered(spark, root), [("_m", F.col("volume"), 20)], ["ticker"])
+    return df.select("ticker", "date", r4("_m", "volume_sma_20"))
 
 
 def q_cumulative_sum(spark, root):
