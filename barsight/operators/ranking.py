@@ -47,8 +47,9 @@ def chronological_split(df: DataFrame, t: str = "date", tie: list[str] | None =
     single-partition window."""
     tie = tie or ["ticker"]
     order = [F.col(t).asc()] + [F.col(x).asc() for x in tie]
-    cut = df.agg(F.floor(F.count(F.lit(1)) * F.lit(train_fraction)).alias("_cut")).scalar()
     pos = global_position(df, order, "_pos")
+    # the count is read from the materialised numbering, not from ``df`` again
+    cut = pos.agg(F.floor(F.count(F.lit(1)) * F.lit(train_fraction)).alias("_cut")).scalar()
     return (pos.withColumn(name, F.when(F.col("_pos") < cut, F.lit("train"))
                            .otherwise(F.lit("validate")))
             .drop("_pos"))

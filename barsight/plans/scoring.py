@@ -98,3 +98,41 @@ def service_rows(prices: DataFrame, requests: DataFrame, limit: int = DEFAULT_HI
     last = null_nonfinite(last, FEATURES)
     return last.select(*FEATURES, F.col("close").alias("close_price"), "volume", "ticker",
                        F.date_format("target_date", "yyyy-MM-dd").alias("date"))
+
+
+def daily_picks_with_models(prices: DataFrame, models: dict, thresholds: dict | None = None,
+                            k: int = TOP_K, min_bars: int = SCORE_MIN_HISTORY) -> DataFrame:
+    """E11 with fitted models: each available direction is scored (E7), flagged
+    (E8) and cut to its top ``k`` (T1); a missing model skips its direction
+    (U1), as in the reference."""
+    from barsight.operators.model import score
+    latest = latest_valid(clean_features(min_history(feature_set(prices), min_bars)))
+    feats = latest.select("ticker", "date", "close", *FEATURES)
+    thresholds = thresholds or {}
+    parts = []
+    for direction, model in models.items():
+        if model is None:
+            continue
+        contract = "CALL" if direction == "LONG" else "PUT"
+        thr = thresholds.get(direction, F.lit(0.5))
+        scored = score(model, feats, "prob").select(
+            "ticker", "date", "close", "prob", F.lit(contract).alias("contract_type"),
+            threshold_flag(F.col("prob"), thr).alias("prediction"))
+        parts.append(scored)
+    if not parts:
+        raise ValueError("no model available for any direction")
+    union = parts[0]
+    for p in parts[1:]:
+        union = union.unionByName(p)
+    top = top_k_per_group(union, ["contract_type"],
+                          [F.col("prob").desc(), F.col("ticker").asc(), F.col("date").asc()], k)
+    return top.select(*PREDICTION_COLUMNS).orderBy(
+        F.col("prob").desc(), F.col("contract_type").asc(), F.col("ticker").asc())
+
+
+def write_predictions(picks: DataFrame, path: str) -> None:
+    """K2: typed 6-column projection, whole table replaced."""
+    picks.select(F.col("ticker").cast("string"), F.col("date").cast("date"),
+                 F.col("close").cast("double"), F.col("prob").cast("double"),
+                 F.col("contract_type").cast("string"), F.col("prediction").cast("bigint")) \
+        .coalesce(1).write.mode("overwrite").parquet(path)

@@ -92,8 +92,9 @@ def scored_f9(spark, root):
     return formula_scores(training_frame(prices_f1(spark, root)))
 
 
-def validation_f9(spark, root, direction="long"):
-    sp = chronological_split(scored_f9(spark, root), "date", ["ticker"], 0.8)
+def validation_f9(spark, root, direction="long", split=None):
+    sp = split if split is not None else chronological_split(scored_f9(spark, root), "date",
+                                                             ["ticker"], 0.8)
     return sp.where(F.col("split") == "validate").select(
         "ticker", "date", F.col(f"prob_{direction}").alias("prob"),
         F.col(f"target_{direction}").alias("target"))
@@ -336,7 +337,8 @@ def q_precision_at_k(spark, root):
 
 
 def q_average_precision(spark, root):
-    parts = [average_precision(validation_f9(spark, root, d)).select(
+    sp = chronological_split(scored_f9(spark, root))
+    parts = [average_precision(validation_f9(spark, root, d, sp)).select(
         F.lit(d.upper()).alias("direction"), r6("pr_auc")) for d in ("long", "short")]
     return parts[0].unionByName(parts[1])
 
