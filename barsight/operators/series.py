@@ -186,11 +186,16 @@ def rolling_sums(df: DataFrame, specs: list[tuple[str, Column, int]], by: list[s
 
 def rolling_means(df: DataFrame, specs: list[tuple[str, Column, int]], by: list[str],
                   block: int = BLOCK) -> DataFrame:
-    """W5 for several ``(name, x, L)`` at once: full-window means via :func:`rolling_sums`."""
-    df = rolling_sums(df, [(f"_rm_{n}", x, length) for n, x, length in specs], by, block)
+    """W5 for several ``(name, x, L)`` at once: full-window means via
+    :func:`rolling_sums` (windows longer than a block use a direct frame)."""
+    fast = [(n, x, length) for n, x, length in specs if length <= block]
+    slow = [(n, x, length) for n, x, length in specs if length > block]
+    if fast:
+        df = rolling_sums(df, [(f"_rm_{n}", x, length) for n, x, length in fast], by, block)
     out = [F.when(F.col(f"_rm_{n}_n") == length, F.col(f"_rm_{n}_sum") / F.lit(float(length))).alias(n)
-           for n, _x, length in specs]
-    drop = [c for n, _x, _l in specs for c in (f"_rm_{n}_sum", f"_rm_{n}_n")]
+           for n, _x, length in fast]
+    out += [sma(x, by, length).alias(n) for n, x, length in slow]
+    drop = [c for n, _x, _l in fast for c in (f"_rm_{n}_sum", f"_rm_{n}_n")]
     return df.select("*", *out).drop(*drop)
 
 

@@ -250,7 +250,7 @@ def missing_work(listing: DataFrame, existing: DataFrame, suffix: str = ".txt")
 def parse_key(key: Column) -> tuple[Column, Column, Column]:
     """``KEY`` -> (ticker, date string, ok); ok only for exactly two parts."""
     parts = F.split(key, "_")
-    return parts.getItem(0), parts.getItem(1), F.size(parts) == 2
+    return F.get(parts, 0), F.get(parts, 1), F.size(parts) == 2
 
 
 def work_items(missing: DataFrame, base_uri: str, summaries: str = "earnings-call-summaries/",
