@@ -20,7 +20,7 @@ _CUTOFF = 41.5  # exp(-41.5) < 1e-18: carried weight below double precision
 
 def number_rows(df: DataFrame, by: list[str], t: str, block: int = BLOCK) -> DataFrame:
     """Add ``rn`` (0-based bar number), ``_blk`` and ``_off`` per series."""
-    w = Window.partitionBy(*by).orderBy(F.col(t).asc(), *[F.col(x) for x in by])
+    w = Window.partitionBy(*by).orderBy(F.col(t).asc())
     return (df.withColumn("rn", F.row_number().over(w) - 1)
             .withColumn("_blk", F.floor(F.col("rn") / F.lit(block)))
             .withColumn("_off", F.col("rn") % F.lit(block)))
