@@ -31,8 +31,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from barsight.operators.series import (
-    BLOCK, cumsum, cumulative, decayed_sums, full_window, lag, number_rows, ordered,
-    rolling_means, sma, seeded_average_terms, wilder_terms,
+    BLOCK, block_lags, block_previous_totals, block_running, cumsum, cumulative, decayed_sums,
+    full_window, lag, number_rows, ordered, scan_carries, scan_inputs, scan_results,
+    seeded_average_terms, sma, wilder_terms, window_total,
 )
 
 FEATURES = [
@@ -50,6 +51,7 @@ FEATURES = [
     "dist_from_high", "dist_from_low", "close_loc",
 ]
 
+_SMA = (10, 20, 50, 200)
 _EMA = {"ema_10": 10, "ema_50": 50, "_ema_12": 12, "_ema_26": 26}
 _ATR = {"atrr_14": 14, "atrr_3": 3}
 _RSI = {"rsi_14": 14, "rsi_5": 5}
@@ -77,8 +79,14 @@ def feature_set(prices: DataFrame, by: list[str] | tuple = ("ticker",), t: str =
 
     ``prices`` needs ``by``, ``t``, open, high, low, close, volume.  ``by`` may
     be any series key, e.g. ``["ticker", "target_date"]`` for as-of histories.
-    One hash exchange on ``by``; all windows share one sort on
-    ``(by, _blk, rn)``.
+
+    Plan: one hash exchange on ``by``; one sort for the bar numbers and one on
+    ``(by, _blk, rn)`` shared by every later window.  Window passes, in order:
+    A ordered (lags, lead, pads, series length) -> B ordered (short rolling
+    frames, running counts for the seeds) -> C1 in-block (level-1 scans,
+    running sums for the means) -> C2 block-back (carries, previous-block
+    totals) -> E ordered (lagged running sums, MACD-signal seed, %K/%D) -> F1
+    in-block / F2 block-back (level-2 scans).
     """
     by = list(by)
     keep = list(keep or [])
@@ -88,15 +96,15 @@ def feature_set(prices: DataFrame, by: list[str] | tuple = ("ticker",), t: str =
     C, H, L, V = (F.col(x) for x in ("close", "high", "low", "volume"))
     C1 = lag(C, by)
 
-    # -- stage A: first differences and other lag-based inputs
+    # -- A (ordered): first differences and other lag-based inputs
     d = C - C1
     up = H - lag(H, by)
     dn = lag(L, by) - L
+    whole = ordered(by).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     df = df.select(
         "*",
-        C1.alias("_c1"),
         F.lead(C, 1).over(ordered(by)).alias("next_close"),
-        F.count(F.lit(1)).over(Window.partitionBy(*by)).alias("n_bars"),
+        F.count(F.lit(1)).over(whole).alias("n_bars"),
         F.greatest(H - L, F.abs(H - C1), F.abs(L - C1)).alias("_tr"),
         F.when(d.isNotNull(), F.greatest(d, F.lit(0.0))).alias("_gain"),
         F.when(d.isNotNull(), F.greatest(-d, F.lit(0.0))).alias("_loss"),
@@ -111,17 +119,13 @@ def feature_set(prices: DataFrame, by: list[str] | tuple = ("ticker",), t: str =
         _div(F.lit(100.0) * (C - lag(C, by, 5)), lag(C, by, 5)).alias("roc_5"),
     )
 
-    # -- rolling means as O(1)-per-row block-prefix differences
-    df = rolling_means(df, [("sma_10", C, 10), ("sma_20", C, 20), ("sma_50", C, 50),
-                            ("sma_200", C, 200), ("_vsma20", V, 20)], by, block)
-
-    # -- stage B: short rolling windows and the inputs of the level-1 scans
+    # -- B (ordered): short rolling frames and the running counts of the seeds
     tr = F.col("_tr")
     stage_b = [
         full_window(F.stddev_pop, C, by, 20).alias("_sd20"),
         full_window(F.min, L, by, 14).alias("_ll14"),
         full_window(F.max, H, by, 14).alias("_hh14"),
-        cumsum(F.col("_sv"), by).alias("_obv"),
+        cumsum(F.col("_sv"), by).alias("obv"),
         F.try_subtract(_div(F.col("_vpad"), F.lag("_vpad", 1).over(ordered(by))),
                        F.lit(1.0)).alias("volume_delta"),
     ]
@@ -145,59 +149,76 @@ def feature_set(prices: DataFrame, by: list[str] | tuple = ("ticker",), t: str =
     scans += [("_pdm_w", pdm_n, 1.0 - 1.0 / ADX_LEN), ("_ndm_w", ndm_n, 1.0 - 1.0 / ADX_LEN)]
     df = df.select("*", *stage_b)
 
-    # -- stage C: level-1 linear scans (one set of window passes for all 12)
-    df = decayed_sums(df, scans, by, block)
+    # -- C1 (in-block): level-1 scans and running sums for the rolling means
+    df = df.select("*", *scan_inputs(scans, by), *block_running(C, by, "c"),
+                   *block_running(V, by, "v"))
+    # -- C2 (block-back): carries and previous-block totals
+    df = df.select("*", *scan_carries(scans, by, block), *block_previous_totals("c", by, block),
+                   *block_previous_totals("v", by, block))
+    level1, helpers = scan_results(scans, block)
+    df = df.select("*", *level1).drop(*helpers)
 
-    # -- stage D: values derived from level 1
-    stage_d = []
-    for name in list(_EMA) + list(_ATR):
-        stage_d.append(F.when(F.col(f"_ok_{name}"), F.col(name)).alias(f"_v_{name}"))
-    df = df.select("*", *stage_d)
+    # -- D: values derived from level 1
     for name in list(_EMA) + list(_ATR):
-        df = df.drop(name).withColumnRenamed(f"_v_{name}", name)
-    for name, n in _RSI.items():
-        g, lo = F.col(f"_g_{name}"), F.col(f"_l_{name}")
-        df = df.withColumn(name, F.when(F.col("_diff_seen") >= n,
-                                        _div(F.lit(100.0) * g, g + lo)))
+        df = df.withColumn(name, F.when(F.col(f"_ok_{name}"), F.col(name)))
+    rsi = [F.when(F.col("_diff_seen") >= n, _div(F.lit(100.0) * F.col(f"_g_{name}"),
+                                                 F.col(f"_g_{name}") + F.col(f"_l_{name}"))).alias(name)
+           for name, n in _RSI.items()]
     pw, nw = F.col("_pdm_w"), F.col("_ndm_w")
     atr14 = F.col("atrr_14")
     dx = F.when((F.col("_dm_seen") >= ADX_LEN) & atr14.isNotNull() & (atr14 != 0),
                 _div(F.lit(100.0) * F.abs(pw - nw), pw + nw))
     raw_k = F.when(F.col("_ll14").isNotNull() & F.col("_hh14").isNotNull(),
                    _div(F.lit(100.0) * (C - F.col("_ll14")), F.col("_hh14") - F.col("_ll14")))
-    df = df.select("*", (F.col("_ema_12") - F.col("_ema_26")).alias("macd_12_26_9"),
+    df = df.select("*", *rsi, (F.col("_ema_12") - F.col("_ema_26")).alias("macd_12_26_9"),
                    dx.alias("_dx"), raw_k.alias("_rawk"))
 
-    # -- stage E: inputs of the level-2 scans, %K
+    # -- E (ordered): lagged running sums, MACD-signal seed, ADX inputs, %K and %D
     macd = F.col("macd_12_26_9")
     sb, sok = seeded_average_terms(macd, by, SIGNAL_LEN, 2.0 / (SIGNAL_LEN + 1))
     dxn, dxd, dx_seen = wilder_terms(F.col("_dx"), by)
+    rk = [F.lag("_rawk", i).over(ordered(by)) for i in range(5)]  # rk[i] = %K raw i bars back
+    stochd = F.when(rk[0].isNotNull() & rk[1].isNotNull() & rk[2].isNotNull() & rk[3].isNotNull()
+                    & rk[4].isNotNull(),
+                    (rk[4] + F.lit(2.0) * rk[3] + F.lit(3.0) * rk[2] + F.lit(2.0) * rk[1] + rk[0])
+                    / F.lit(9.0))
+    lags = []
+    for n in _SMA:  # windows longer than a block fall back to a direct frame
+        lags += block_lags("c", by, n) if n <= block else [sma(C, by, n).alias(f"_sma_direct_{n}")]
+    lags += block_lags("v", by, 20) if 20 <= block else [sma(V, by, 20).alias("_sma_direct_v20")]
     df = df.select("*", sb.alias("_b_sig"), sok.alias("_ok_sig"), dx_seen.alias("_dx_seen"),
-                   sma(F.col("_rawk"), by, 3).alias("stochk_14_3_3"))
-    df = decayed_sums(df, [("_sig", F.col("_b_sig"), 1.0 - 2.0 / (SIGNAL_LEN + 1)),
-                           ("_dxn", dxn, 1.0 - 1.0 / ADX_LEN),
-                           ("_dxd", dxd, 1.0 - 1.0 / ADX_LEN)], by, block)
-
-    # -- stage F: final projection
+                   sma(F.col("_rawk"), by, 3).alias("stochk_14_3_3"), stochd.alias("stochd_14_3_3"),
+                   *lags)
+
+    # -- F1/F2: level-2 scans (MACD signal, ADX numerator and denominator)
+    level2 = [("_sig", F.col("_b_sig"), 1.0 - 2.0 / (SIGNAL_LEN + 1)),
+              ("_dxn", dxn, 1.0 - 1.0 / ADX_LEN), ("_dxd", dxd, 1.0 - 1.0 / ADX_LEN)]
+    df = decayed_sums(df, level2, by, block)
+
+    # -- final projection
+    smas = {n: F.when(window_total("c", n, "cc") == n, window_total("c", n) / F.lit(float(n)))
+            if n <= block else F.col(f"_sma_direct_{n}") for n in _SMA}
+    vsma20 = (F.when(window_total("v", 20, "cc") == 20, window_total("v", 20) / F.lit(20.0))
+              if 20 <= block else F.col("_sma_direct_v20"))
     signal = F.when(F.col("_ok_sig"), F.col("_sig"))
-    sma20, sd20 = F.col("sma_20"), F.col("_sd20")
+    sma20, sd20 = smas[20], F.col("_sd20")
     bbl, bbu = sma20 - F.lit(2.0) * sd20, sma20 + F.lit(2.0) * sd20
     out = [
         *[F.col(x) for x in by], F.col(t), "rn", "n_bars", "open", "high", "low", "close", "volume",
         "next_close", *keep,
-        "sma_10", "sma_20", "sma_50", "sma_200", "ema_10", "ema_50",
+        smas[10].alias("sma_10"), sma20.alias("sma_20"), smas[50].alias("sma_50"),
+        smas[200].alias("sma_200"), "ema_10", "ema_50",
         F.when(F.col("_dx_seen") >= ADX_LEN, _div(F.col("_dxn"), F.col("_dxd"))).alias("adx_14"),
         "macd_12_26_9", (macd - signal).alias("macdh_12_26_9"), signal.alias("macds_12_26_9"),
-        "rsi_14", "rsi_5",
-        "stochk_14_3_3", sma(F.col("stochk_14_3_3"), by, 3).alias("stochd_14_3_3"),
+        "rsi_14", "rsi_5", "stochk_14_3_3", "stochd_14_3_3",
         "roc_1", "roc_3", "roc_5",
         "atrr_14", _div(F.col("atrr_3"), F.col("atrr_14")).alias("atr_ratio"),
         bbl.alias("bbl_20_2_0"), bbu.alias("bbu_20_2_0"),
         _div(F.lit(100.0) * (bbu - bbl), sma20).alias("bbb_20_2_0"),
         _div(C - bbl, bbu - bbl).alias("bbp_20_2_0"),
-        F.col("_obv").alias("obv"), _div(V, F.col("_vsma20")).alias("rvol_20"), "volume_delta",
-        _div(C, sma20).alias("price_vs_sma20"), _div(C, F.col("sma_50")).alias("price_vs_sma50"),
-        _div(C, F.col("sma_200")).alias("price_vs_sma200"),
+        "obv", _div(V, vsma20).alias("rvol_20"), "volume_delta",
+        _div(C, sma20).alias("price_vs_sma20"), _div(C, smas[50]).alias("price_vs_sma50"),
+        _div(C, smas[200]).alias("price_vs_sma200"),
         _div(H - C, C).alias("dist_from_high"), _div(C - L, C).alias("dist_from_low"),
         F.when(H == L, F.lit(0.5)).otherwise(_div(C - L, H - L)).alias("close_loc"),
         "atrr_3",

@@ -89,6 +89,53 @@ def _block_back(by: list[str], j: int) -> Window:
     return Window.partitionBy(*by).orderBy("_blk").rangeBetween(-j, -j)
 
 
+def scan_inputs(specs: list[tuple[str, Column, float]], by: list[str]) -> list[Column]:
+    """Phase 1 of the block scan: in-block partial sums ``_u_<name>``."""
+    off = F.col("_off")
+    cols = []
+    for name, b, r in specs:
+        r = float(r)
+        bb = F.coalesce(b, F.lit(0.0))
+        if r > 0:
+            u = F.sum(bb * F.pow(F.lit(r), -off)).over(_in_block(by)) * F.pow(F.lit(r), off)
+        else:
+            u = bb
+        cols.append(u.alias(f"_u_{name}"))
+    return cols
+
+
+def scan_carries(specs: list[tuple[str, Column, float]], by: list[str],
+                 block: int = BLOCK) -> list[Column]:
+    """Phase 2: block-end values of the previous K blocks, ``_e<j>_<name>``."""
+    off = F.col("_off")
+    cols = []
+    for name, _b, r in specs:
+        end = F.when(off == block - 1, F.col(f"_u_{name}"))
+        for j in range(1, carry_blocks(float(r), block) + 1):
+            cols.append(F.last(end, ignorenulls=True).over(_block_back(by, j)).alias(f"_e{j}_{name}"))
+    return cols
+
+
+def scan_results(specs: list[tuple[str, Column, float]], block: int = BLOCK) -> tuple[list[Column], list[str]]:
+    """Phase 3: ``y = u + r^(off+1) * sum_j R^(j-1) e_j``; returns (columns, helper names)."""
+    off = F.col("_off")
+    out, helpers = [], []
+    for name, _b, r in specs:
+        r = float(r)
+        k = carry_blocks(r, block)
+        y = F.col(f"_u_{name}")
+        if k:
+            big_r = r ** block
+            carry = None
+            for j in range(1, k + 1):
+                term = F.lit(big_r ** (j - 1)) * F.coalesce(F.col(f"_e{j}_{name}"), F.lit(0.0))
+                carry = term if carry is None else carry + term
+            y = y + F.pow(F.lit(r), off + 1) * carry
+        out.append(y.alias(name))
+        helpers += [f"_u_{name}"] + [f"_e{j}_{name}" for j in range(1, k + 1)]
+    return out, helpers
+
+
 def decayed_sums(df: DataFrame, specs: list[tuple[str, Column, float]], by: list[str],
                  block: int = BLOCK) -> DataFrame:
     """``y_t = r * y_{t-1} + b_t`` (``y_{-1} = 0``, NULL ``b`` counts as 0) for
@@ -108,41 +155,40 @@ def decayed_sums(df: DataFrame, specs: list[tuple[str, Column, float]], by: list
 
     ``df`` must come from :func:`number_rows` with the same ``block``.
     """
+    df = df.select("*", *scan_inputs(specs, by))
+    carries = scan_carries(specs, by, block)
+    if carries:
+        df = df.select("*", *carries)
+    out, helpers = scan_results(specs, block)
+    return df.select("*", *out).drop(*helpers)
+
+
+def block_running(x: Column, by: list[str], name: str) -> list[Column]:
+    """Rolling-sum phase 1: in-block running sum and non-null count of ``x``."""
+    return [F.sum(F.coalesce(x, F.lit(0.0))).over(_in_block(by)).alias(f"_cs_{name}"),
+            F.count(x).over(_in_block(by)).alias(f"_cc_{name}")]
+
+
+def block_previous_totals(name: str, by: list[str], block: int = BLOCK) -> list[Column]:
+    """Rolling-sum phase 2: totals of the previous block."""
     off = F.col("_off")
-    stage1 = []
-    for name, b, r in specs:
-        r = float(r)
-        bb = F.coalesce(b, F.lit(0.0))
-        if r > 0:
-            u = F.sum(bb * F.pow(F.lit(r), -off)).over(_in_block(by)) * F.pow(F.lit(r), off)
-        else:
-            u = bb
-        stage1.append(u.alias(f"_u_{name}"))
-    df = df.select("*", *stage1)
-    ends, carries = [], {}
-    for name, _b, r in specs:
-        r = float(r)
-        k = carry_blocks(r, block)
-        end = F.when(off == block - 1, F.col(f"_u_{name}"))
-        terms = []
-        for j in range(1, k + 1):
-            col = f"_e{j}_{name}"
-            ends.append(F.last(end, ignorenulls=True).over(_block_back(by, j)).alias(col))
-            terms.append(F.lit(float(r ** block) ** (j - 1)) * F.coalesce(F.col(col), F.lit(0.0)))
-        carries[name] = (terms, r, [f"_e{j}_{name}" for j in range(1, k + 1)])
-    if ends:
-        df = df.select("*", *ends)
-    out, drop = [], []
-    for name, (terms, r, cols) in carries.items():
-        y = F.col(f"_u_{name}")
-        if terms:
-            carry = terms[0]
-            for t in terms[1:]:
-                carry = carry + t
-            y = y + F.pow(F.lit(r), off + 1) * carry
-        out.append(y.alias(name))
-        drop += cols + [f"_u_{name}"]
-    return df.select("*", *out).drop(*drop)
+    return [F.last(F.when(off == block - 1, F.col(f"_{k}_{name}")), ignorenulls=True)
+            .over(_block_back(by, 1)).alias(f"_{k}p_{name}") for k in ("cs", "cc")]
+
+
+def block_lags(name: str, by: list[str], length: int) -> list[Column]:
+    """Rolling-sum phase 2': running values ``length`` rows back."""
+    return [F.lag(F.col(f"_{k}_{name}"), length).over(ordered(by)).alias(f"_{k}l{length}_{name}")
+            for k in ("cs", "cc")]
+
+
+def window_total(name: str, length: int, kind: str = "cs") -> Column:
+    """Rolling-sum phase 3: sum (``cs``) or count (``cc``) of the last ``length`` rows."""
+    off, rn = F.col("_off"), F.col("rn")
+    cur, lagged, prev = (F.col(f"_{kind}_{name}"), F.col(f"_{kind}l{length}_{name}"),
+                         F.col(f"_{kind}p_{name}"))
+    return (F.when(rn < length, cur).when(off >= length, cur - lagged)
+            .otherwise(cur + prev - lagged))
 
 
 def rolling_sums(df: DataFrame, specs: list[tuple[str, Column, int]], by: list[str],
