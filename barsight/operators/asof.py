@@ -18,29 +18,43 @@ def history_asof(prices: DataFrame, requests: DataFrame, limit: int = DEFAULT_HI
     """For every distinct valid request ``(ticker, target_date)`` the newest
     ``limit`` bars with ``date <= target_date``.
 
-    Plan: bars and requests are merged into one stream per ticker; a running
-    ``last(rn)`` gives each request the number of its newest eligible bar
-    (bars sort before a request on the same date).  The request then expands
-    into the exact bar numbers ``end-limit+1 .. end`` and meets the bars on an
-    equi-join ``(ticker, rn)`` — no requests x bars theta join.
+    Plan (one exchange, by ticker; no join):
+
+    1. bars and requests form one stream per ticker; a running ``last(rn)``
+       gives each request ``end``, the number of its newest eligible bar (bars
+       sort before a request on the same date);
+    2. every row is expanded in place: a bar into itself, a request into its
+       exact bar numbers ``end-limit+1 .. end`` (output-sized, no cap);
+    3. ordered by ``(rn, kind)``, each expanded request row takes the bar
+       columns from the bar with the same number through a running
+       ``last(..., ignorenulls)`` — O(1) per row.
+
+    The expanded rows are never shuffled and stay partitioned by ticker, so a
+    feature plan keyed by ``(ticker, target_date)`` needs no new exchange.
+    No requests x bars theta join.
 
     Output: ``ticker, target_date, date, open, high, low, close, volume``.
     """
+    values = ["date", "open", "high", "low", "close", "volume"]
     req = (valid_requests(requests, ticker, date)
            .select(F.col(ticker).alias("ticker"), F.col(date).cast("date").alias("target_date"))
            .distinct())
-    bars = prices.where(F.col("close").isNotNull()).select(
-        "ticker", "date", "open", "high", "low", "close", "volume")
-    numbered = bars.withColumn("rn", F.row_number().over(
-        Window.partitionBy("ticker").orderBy("date")) - 1)
-    stream = numbered.select("ticker", "date", "rn", F.lit(0).alias("_kind"),
-                             F.lit(None).cast("date").alias("target_date")).unionByName(
-        req.select("ticker", F.col("target_date").alias("date"), F.lit(None).cast("int").alias("rn"),
-                   F.lit(1).alias("_kind"), "target_date"))
-    w = Window.partitionBy("ticker").orderBy("date", "_kind").rowsBetween(Window.unboundedPreceding, 0)
-    ends = (stream.select("ticker", "target_date", "_kind", F.last("rn", ignorenulls=True).over(w).alias("_end"))
-            .where((F.col("_kind") == 1) & F.col("_end").isNotNull()))
-    wanted = ends.select("ticker", "target_date", F.explode(F.sequence(
-        F.greatest(F.col("_end") - F.lit(limit - 1), F.lit(0)), F.col("_end"))).alias("rn"))
-    return (wanted.join(numbered, ["ticker", "rn"])
-            .select("ticker", "target_date", "date", "open", "high", "low", "close", "volume"))
+    bars = prices.where(F.col("close").isNotNull()).select("ticker", *values)
+    stream = (bars.select("ticker", *values, F.lit(0).alias("_kind"),
+                          F.lit(None).cast("date").alias("target_date"))
+              .unionByName(req.select("ticker", F.col("target_date").alias("date"),
+                                      *[F.lit(None).cast("double").alias(c) for c in values[1:]],
+                                      F.lit(1).alias("_kind"), "target_date")))
+    upto = Window.partitionBy("ticker").orderBy("date", "_kind").rowsBetween(Window.unboundedPreceding, 0)
+    bar_no = F.count(F.when(F.col("_kind") == 0, F.lit(1))).over(upto) - 1  # newest bar <= date
+    stream = stream.withColumn("_end", bar_no)
+    span = F.sequence(F.greatest(F.col("_end") - F.lit(limit - 1), F.lit(0)), F.col("_end"))
+    slots = F.when(F.col("_kind") == 0, F.array(F.col("_end"))).when(F.col("_end") >= 0, span) \
+        .otherwise(F.array().cast("array<bigint>"))
+    expanded = stream.select("ticker", "target_date", "_kind", *values,
+                             F.explode(slots).alias("rn"))
+    at = Window.partitionBy("ticker").orderBy("rn", "_kind").rowsBetween(Window.unboundedPreceding, 0)
+    filled = expanded.select("ticker", "target_date", "_kind",
+                             *[F.last(F.when(F.col("_kind") == 0, F.col(c)), ignorenulls=True).over(at)
+                               .alias(c) for c in values])
+    return filled.where(F.col("_kind") == 1).select("ticker", "target_date", *values)
