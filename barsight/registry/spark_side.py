@@ -246,7 +246,7 @@ def _numbered(spark, root):
 
 def q_latest_per_key(spark, root):
     return latest_per_key(FX.staging_features(spark, root)).select(
-        *F4_SCALARS, F.size("summary_embedding").alias("embedding_size"))
+        *F4_SCALARS, F.size("summary_embedding").cast("bigint").alias("embedding_size"))
 
 
 def q_latest_per_series(spark, root):
@@ -387,7 +387,7 @@ def _merge_plan(spark, root):
 
 def q_merge_upsert(spark, root):
     return merge_snapshot(_merge_plan(spark, root)).select(
-        *F4_SCALARS, F.size("summary_embedding").alias("embedding_size"))
+        *F4_SCALARS, F.size("summary_embedding").cast("bigint").alias("embedding_size"))
 
 
 def q_merge_actions(spark, root):
