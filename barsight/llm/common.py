@@ -65,7 +65,7 @@ def global_index(df: DataFrame, order: list[Column], name: str,
     be total up to rows that are alike in every column."""
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    pid, local = fresh("pid", df), fresh("place", df)
+    pid, local = fresh(f"{name}_part", df), fresh(f"{name}_local", df)
     ranged = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
               .withColumn(local, F.monotonically_increasing_id()))
     ranged = cut(ranged.withColumn(pid, F.shiftright(F.col(local), 33).cast("int"))

@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from barsight.llm.mixing import op7_mixing
 from barsight.llm.near_dedup import op5_near_dedup
+from barsight.llm.sharding import op2_sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_sharding": op2_sharding,
     "op5_near_dedup": op5_near_dedup,
+    "op7_mixing": op7_mixing,
 }
 
 ORACLE: dict[str, str] = {}
