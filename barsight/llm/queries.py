@@ -8,10 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from barsight.llm.mixing import op7_mixing
 from barsight.llm.near_dedup import op5_near_dedup
+from barsight.llm.quality import op1_quality
 from barsight.llm.sharding import op2_sharding
+from barsight.llm.toxicity import op4_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality": op1_quality,
     "op2_sharding": op2_sharding,
+    "op4_toxicity": op4_toxicity,
     "op5_near_dedup": op5_near_dedup,
     "op7_mixing": op7_mixing,
 }
