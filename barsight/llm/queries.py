@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from barsight.llm.mixing import op7_mixing
 from barsight.llm.near_dedup import op5_near_dedup
+from barsight.llm.passages import op8_passages
 from barsight.llm.pieces import op10_pieces
 from barsight.llm.quality import op1_quality
 from barsight.llm.sharding import op2_sharding
@@ -19,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_toxicity": op4_toxicity,
     "op5_near_dedup": op5_near_dedup,
     "op7_mixing": op7_mixing,
+    "op8_passages": op8_passages,
     "op10_pieces": op10_pieces,
 }
 
