@@ -8,13 +8,15 @@ reached it, hence two sets agree in it with probability J, and the agreement is
 concentrated as for independent hashes.  Coordinates are banded; documents in
 one bucket are candidates and are confirmed on their full sets.
 
-No bucket emits all its pairs.  Documents with equal sets are one node.  A
-bucket compares its members with a pivot, then drops the pivot; members already
-in one component need no further check, so a bucket of many copies ends after
-one pivot.  What a bucket still holds goes on with further pivots (or, in
-buckets of at most ``SMALL`` members, at once with the few pairs that are left)
-until no bucket holds an unchecked pair from two components: no cap, no lost
-candidate.
+No bucket emits all its pairs.  Documents with equal sets are one node.  Every
+bucket first compares its members with its smallest doc_id; members then in one
+component need no further check, which settles a bucket of many copies.  Of the
+buckets that still hold two components, those of at most ``SMALL`` members pair
+what is left.  Larger ones are joined to clusters, in which each member outside
+the largest component is compared with the members of other components in tiles
+of about ``TILE`` x ``TILE`` sets, unless its shingles that no other member of
+the cluster has already rule every link out.  So no pair that shares a bucket
+and could join two components stays unchecked: no cap, no lost candidate.
 
 Defined cases: null or empty text, or text of white space: empty set, linked
 with nothing.  1 to 4 words: the sequence is the one shingle.  Rows that share a
@@ -37,8 +39,8 @@ ROWS = 4
 #: A pair of similarity 0.75 shares none of the 32 bands with probability 5e-6.
 BANDS = BINS // ROWS
 THRESHOLD = 75
-#: Pivots a bucket takes in one round; members up to which it pairs the rest.
-PIVOTS, SMALL = 8, 24
+#: Members up to which a bucket pairs what its pivot left; sets on a tile's side.
+SMALL, TILE = 8, 64
 
 _ROUND = seeds(2 * BINS, 51)
 _BAND = seeds(BANDS, 53)
@@ -155,6 +157,64 @@ def confirm(texts: DataFrame, pairs: DataFrame) -> DataFrame:
     return cut(rows.mapInArrow(_confirm, "a long, b long"))
 
 
+def _tiles(batches):
+    """Links (a, b) between the two sides of each tile."""
+    for batch in batches:
+        out = []
+        for left, right in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            sides = [[np.array(x["elements"], np.int64) for x in side] for side in (left, right)]
+            n = [np.array([len(x) for x in side]) for side in sides]
+            names, index = np.unique(np.concatenate(sides[0] + sides[1]), return_inverse=True)
+            shared = np.zeros((len(left), len(right)), np.int64)
+            cuts = np.r_[0, np.cumsum(np.r_[n[0], n[1]])]
+            on = [index[cuts[i]:cuts[i + 1]] for i in range(len(left) + len(right))]
+            flag = np.zeros(len(names), bool)
+            far = np.concatenate(on[len(left):])
+            for i in range(len(left)):
+                flag[on[i]] = True
+                shared[i] = np.add.reduceat(flag[far].astype(np.int64), cuts[len(left):-1] - cuts[len(left)])
+                flag[on[i]] = False
+            union = n[0][:, None] + n[1][None, :] - shared
+            for i, j in zip(*np.nonzero(100 * shared >= THRESHOLD * union)):
+                x, y = left[i], right[j]
+                if x["component"] != y["component"]:
+                    out.append((min(x["doc_id"], y["doc_id"]), max(x["doc_id"], y["doc_id"])))
+        if out:
+            a, b = zip(*out)
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+
+def _cluster_links(texts: DataFrame, members: DataFrame) -> DataFrame:
+    """Links between components inside clusters of large buckets; ``members``:
+    (bucket, doc_id, n, component)."""
+    heads = cut(members.groupBy("bucket").agg(F.min("doc_id").alias("a")))
+    clusters = components(small_join(members.select("bucket", F.col("doc_id").alias("b")), heads, "bucket").select("a", "b"))
+    docs = members.select("doc_id", "component").distinct()
+    docs = cut(small_join(docs, clusters.select(F.col("node").alias("doc_id"), F.col("component").alias("cluster")), "doc_id"))
+    sets = small_join(texts, docs.select("doc_id"), "doc_id", "left_semi").mapInArrow(_sets, "doc_id long, elements array<long>")
+    docs = cut(small_join(sets, docs, "doc_id").withColumn("n", F.size("elements")).where("n > 0"))
+    alone = (docs.select("cluster", "doc_id", F.explode("elements").alias("e")).groupBy("cluster", "e")
+             .agg(F.count(F.lit(1)).alias("df"), F.min("doc_id").alias("doc_id")).where("df = 1")
+             .groupBy("doc_id").agg(F.count(F.lit(1)).alias("alone")))
+    parts = (docs.groupBy("cluster", "component").agg(F.count(F.lit(1)).alias("size"), F.min("n").alias("n"))
+             .groupBy("cluster").agg(F.max_by("component", F.struct("size", "component")).alias("major"),
+                                     F.min("n").alias("least"), F.sum("size").alias("m"),
+                                     (F.sum("size") - F.max("size")).alias("s")))
+    docs = small_join(small_join(docs, cut(alone), "doc_id", "left"), cut(parts), "cluster")
+    # 3 (|x| + |y|) <= 7 |x and y|, and what x shares with any y is at most |x| - alone
+    could = (F.col("n") - F.coalesce("alone", F.lit(0))) * 7 >= (F.col("n") + F.greatest(F.col("least"), F.col("n") * 0.75)) * 3
+    docs = cut(docs.where(could))
+    entry = F.struct("doc_id", "component", "elements")
+    blocks = F.ceil(F.col("m") / TILE)
+    right = docs.groupBy("cluster", F.pmod(F.xxhash64("doc_id"), blocks).alias("y")).agg(F.collect_list(entry).alias("right"))
+    left = (docs.where("component <> major")
+            .groupBy("cluster", "m", F.pmod(F.xxhash64("doc_id", F.lit(3)), F.ceil(F.col("s") / TILE)).alias("x"))
+            .agg(F.collect_list(entry).alias("left"))
+            .withColumn("y", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1))))
+    tiles = left.join(right, ["cluster", "y"]).select("left", "right")
+    return cut(tiles.mapInArrow(_tiles, "a long, b long").distinct())
+
+
 def link_documents(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of ``docs``
     (columns doc_id, text; further columns are not looked at)."""
@@ -166,55 +226,33 @@ def link_documents(docs: DataFrame) -> DataFrame:
                   .where("a < last").drop("last"))
     same = cut(small_join(found.select("doc_id", "n", "s1", "s2"), classes, ["n", "s1", "s2"])
                .where("doc_id <> a").select("a", F.col("doc_id").alias("b")))
-    reps = small_join(found.select("doc_id", "n", "bands"), same.select(F.col("b").alias("doc_id")).distinct()
-                      if not same.isEmpty() else same.select(F.col("b").alias("doc_id")), "doc_id", "left_anti")
+    reps = small_join(found.select("doc_id", "n", "bands"), same.select(F.col("b").alias("doc_id")), "doc_id", "left_anti")
     spread = reps.select("doc_id", "n", F.explode("bands").alias("bucket"))
-    full = cut(spread.groupBy("bucket").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
-               .where("lo < hi").select("bucket"))
-    live = cut(small_join(spread, full, "bucket"))
-
-    links, done, comp = same, None, None
-    while True:
-        named = live.withColumn("component", F.col("doc_id"))
-        if comp is not None:
-            named = cut(small_join(live, comp.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-                        .withColumn("component", F.coalesce("component", "doc_id")))
-        # buckets that still join two components; pivots: the smallest ids of a few salts
-        salt = F.pmod(F.xxhash64("doc_id"), F.lit(PIVOTS))
-        part = named.groupBy("bucket", salt.alias("salt")).agg(
-            F.min(F.struct("doc_id", "n", "component")).alias("pivot"), F.min("component").alias("lo"),
-            F.max("component").alias("hi"), F.count(F.lit(1)).alias("size"))
-        small = F.col("size") <= SMALL
-        mixed = cut(part.groupBy("bucket").agg(F.collect_list("pivot").alias("pivots"), F.min("lo").alias("lo"),
-                                               F.max("hi").alias("hi"), F.sum("size").alias("size"))
-                    .where("lo < hi").select("bucket", "pivots", "size"))
-        if mixed.isEmpty():
-            break
-        now = cut(small_join(named, mixed, "bucket", rows=100_000))
-        one = now.where(~small).select("doc_id", "n", "component", F.explode("pivots").alias("p"))
-        big_pairs = one.select(F.col("p.doc_id").alias("x"), F.col("p.n").alias("xn"), F.col("p.component").alias("xc"),
-                               F.col("doc_id").alias("y"), F.col("n").alias("yn"), F.col("component").alias("yc"))
-        few = now.where(small).groupBy("bucket").agg(F.sort_array(F.collect_list(F.struct("doc_id", "n", "component"))).alias("m"))
-        few = few.select(F.posexplode("m").alias("i", "p"), "m").select(
-            "p", F.explode(F.expr("slice(m, i + 2, size(m))")).alias("q"))
-        few_pairs = few.select(F.col("p.doc_id").alias("x"), F.col("p.n").alias("xn"), F.col("p.component").alias("xc"),
-                               F.col("q.doc_id").alias("y"), F.col("q.n").alias("yn"), F.col("q.component").alias("yc"))
-        pairs = (big_pairs.unionByName(few_pairs).where("xc <> yc")
-                 .where(F.least("xn", "yn") * 100 >= F.greatest("xn", "yn") * THRESHOLD)
-                 .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
-        if done is not None:
-            pairs = pairs.join(done, ["a", "b"], "left_anti")
-        pairs = cut(pairs)
-        done = pairs if done is None else cut(done.unionByName(pairs))
-        links = links.unionByName(confirm(texts, pairs))
-        comp = components(links)
-        # finished: small buckets, and the pivots of the others
-        keep = now.where(~small).where(~F.exists("pivots", lambda p: p["doc_id"] == F.col("doc_id")))
-        live = cut(keep.select("bucket", "doc_id", "n"))
-        if live.isEmpty():
-            break
-    if comp is None:
-        comp = components(links)
+    full = cut(spread.groupBy("bucket").agg(F.min(F.struct("doc_id", "n")).alias("p"), F.max("doc_id").alias("last"))
+               .where("p.doc_id < last").select("bucket", F.col("p.doc_id").alias("pivot"), F.col("p.n").alias("pn")))
+    live = cut(small_join(spread, full, "bucket").where("doc_id <> pivot"))
+    fits = F.least("pn", "n") * 100 >= F.greatest("pn", "n") * THRESHOLD
+    pairs = cut(live.where(fits).select(F.col("pivot").alias("a"), F.col("doc_id").alias("b")).distinct())
+    links = confirm(texts, pairs)
+
+    joined = components(links).withColumnRenamed("node", "doc_id")
+    named = cut(small_join(live.select("bucket", "doc_id", "n"), joined, "doc_id", "left")
+                .withColumn("component", F.coalesce("component", "doc_id")))
+    mixed = cut(named.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
+                                            F.count(F.lit(1)).alias("size")).where("lo < hi").select("bucket", "size"))
+    if not mixed.isEmpty():
+        left = cut(small_join(named, mixed, "bucket"))
+        few = left.where(F.col("size") <= SMALL).groupBy("bucket").agg(
+            F.sort_array(F.collect_list(F.struct("doc_id", "n", "component"))).alias("m"))
+        few = (few.select(F.posexplode("m").alias("i", "p"), "m")
+               .select("p", F.explode(F.expr("slice(m, i + 2, size(m))")).alias("q")).where("p.component <> q.component"))
+        fits = F.least("p.n", "q.n") * 100 >= F.greatest("p.n", "q.n") * THRESHOLD
+        few = few.where(fits).select(F.col("p.doc_id").alias("a"), F.col("q.doc_id").alias("b")).distinct()
+        links = links.unionByName(confirm(texts, cut(few.join(pairs, ["a", "b"], "left_anti"))))
+        many = left.where(F.col("size") > SMALL)
+        if not many.isEmpty():
+            links = links.unionByName(_cluster_links(texts, many))
+    comp = components(links.unionByName(same))
     out = rows.select("doc_id", F.col("n").alias("n_shingles"))
     out = small_join(out, comp.withColumnRenamed("node", "doc_id"), "doc_id", "left")
     return (out.withColumn("component_id", F.coalesce("component", "doc_id")).drop("component")
