@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from barsight.llm.fingerprints import op3_fingerprints
+from barsight.llm.licenses import op6_licenses
 from barsight.llm.mixing import op7_mixing
 from barsight.llm.near_dedup import op5_near_dedup
 from barsight.llm.passages import op8_passages
@@ -17,8 +19,10 @@ from barsight.llm.toxicity import op4_toxicity
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_sharding": op2_sharding,
+    "op3_fingerprints": op3_fingerprints,
     "op4_toxicity": op4_toxicity,
     "op5_near_dedup": op5_near_dedup,
+    "op6_licenses": op6_licenses,
     "op7_mixing": op7_mixing,
     "op8_passages": op8_passages,
     "op10_pieces": op10_pieces,
