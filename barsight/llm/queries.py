@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from barsight.llm.fingerprints import op3_fingerprints
 from barsight.llm.licenses import op6_licenses
 from barsight.llm.mixing import op7_mixing
+from barsight.llm.mtree import ORACLE as TOP_PRODUCTS_SQL
+from barsight.llm.mtree import op9_top_products
 from barsight.llm.near_dedup import op5_near_dedup
 from barsight.llm.passages import op8_passages
 from barsight.llm.pieces import op10_pieces
@@ -25,7 +27,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_licenses": op6_licenses,
     "op7_mixing": op7_mixing,
     "op8_passages": op8_passages,
+    "op9_top_products": op9_top_products,
     "op10_pieces": op10_pieces,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op9_top_products": TOP_PRODUCTS_SQL}
