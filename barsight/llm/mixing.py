@@ -81,11 +81,16 @@ def apportion(sources: DataFrame, houses: list[int]) -> DataFrame:
         share = F.col("target") * pick(divisors)
         return F.least(F.col("cap"), F.floor(share + 0.5))
 
-    rate = [(h / total if total else 0.0) for h in houses]
     low = [max(0.0, (h - slack) / total) if total else 0.0 for h in houses]
-    high = [(r * (h + slack) / h if h else 0.0) for r, h in zip(rate, houses)]
-    rows = cut(rows.withColumn("sure", F.when(pick(low) > 0, seats(low)).otherwise(F.lit(0).cast("long")))
-               .withColumn("most", F.when(pick(high) > 0, seats(high)).otherwise(F.lit(0).cast("long"))))
+    high, wider = list(low), [1.0] * len(houses)
+    rows = cut(rows)
+    short = list(range(len(houses))) if total else []
+    while short:                                    # widened only where caps keep sources from their seats
+        for i in short:
+            high[i], wider[i] = (houses[i] + slack * wider[i]) / total, wider[i] * 4
+        sums = {r[0]: r[1:] for r in rows.groupBy("house").agg(F.sum(seats(high)), F.sum("cap")).collect()}
+        short = [i for i in short if sums[i][0] < min(houses[i], sums[i][1])]
+    rows = cut(rows.withColumn("sure", seats(low)).withColumn("most", seats(high)))
     sure = dict(rows.groupBy("house").agg(F.sum("sure")).collect())
     left = F.element_at(F.array(*[F.lit(h - (sure.get(i) or 0)) for i, h in enumerate(houses)]), F.col("house") + 1)
     quotients = (rows.where("most > sure")

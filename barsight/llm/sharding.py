@@ -5,8 +5,9 @@ shard; in each round it prefers, among the shards that have room, the one that
 holds most of its neighbours, and a shard admits requests up to its quota of
 free places.  Requests of one group fall into one of 1024 hashed priorities, so
 quotas are kept from a table of at most shards x 1024 sums, and a group moves
-whole.  A group of more than a quarter of a shard is split into hashed parts
-that move one by one: a group that fits no shard fills few of them.  Documents
+whole.  A group of more than a quarter of a shard is split into hashed parts,
+which move, row by row as there is room, towards as many of its fullest shards
+as it needs.  Documents
 without links have no cut edge to lose; they fill the shards up, so counts end
 at most one apart.
 
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 from barsight.llm.common import cut, global_index, read, small_join
 
 SHARDS = 40
-ROUNDS = 4
+ROUNDS = 5
 PRIORITIES = 1024
 
 
@@ -30,20 +31,24 @@ def _pick(values: list[int], index: Column) -> Column:
     return F.element_at(F.array(*[F.lit(int(v)).cast("long") for v in values]), index + 1)
 
 
-def _propagate(linked: DataFrame, shards: int, room: int, rounds: int) -> DataFrame:
-    """Rounds of label propagation over (doc_id, g, part, shard, ...)."""
+def _propagate(linked: DataFrame, shards: int, room: int, size: int, rounds: int) -> DataFrame:
+    """Rounds of label propagation over (doc_id, g, part, shard, ...); parts have
+    about ``size`` rows, a shard has room for ``room`` linked ones."""
     for r in range(rounds):
         used = dict(linked.groupBy("shard").count().collect())
         free = [max(0, room - used.get(j, 0)) for j in range(shards)]
         here = linked.groupBy("g", "shard").agg(F.count(F.lit(1)).alias("c"))
-        rank = F.struct((_pick(free, F.col("shard")) > 0).alias("open"), F.col("c"), F.xxhash64("g", "shard").alias("tie"))
-        best = cut(here.groupBy("g").agg(F.max_by("shard", rank).alias("want"), F.count(F.lit(1)).alias("spread"))
-                   .where("spread > 1").drop("spread"))
+        rank = F.struct((_pick(free, F.col("shard")) > 0).alias("open"), F.col("c"), F.xxhash64("g", "shard").alias("tie"), "shard")
+        best = cut(here.groupBy("g").agg(F.sort_array(F.collect_list(rank), asc=False)["shard"].alias("order"))
+                   .where("size(order) > 1"))
         if best.isEmpty():
             return linked
         asked = (small_join(linked, best, "g", "left")
-                 .withColumn("priority", F.pmod(F.xxhash64("g", "part", F.lit(r)), F.lit(PRIORITIES)).cast("int")))
-        asked = cut(asked.withColumn("want", F.coalesce("want", "shard")))
+                 .withColumn("priority", F.pmod(F.when(F.col("big"), F.xxhash64("doc_id", F.lit(r)))
+                                                .otherwise(F.xxhash64("g", F.lit(r))), F.lit(PRIORITIES)).cast("int")))
+        # the parts of a large group fill the group's fullest shards one after the other
+        nth = F.expr(f"cast(least(part * {size} div {max(1, room)}, size(order) - 1) as int)")
+        asked = cut(asked.withColumn("want", F.coalesce(F.get("order", nth), "shard")).drop("order"))
         sums = asked.where("want <> shard").groupBy("want", "priority").count().collect()
         last, left = [0] * shards, list(free)
         closed = [False] * shards
@@ -71,8 +76,9 @@ def shard(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> DataFr
     part = max(1, n // shards // 4)
     linked = cut(known.where("m is not null")
                  .withColumn("part", F.pmod(F.xxhash64("doc_id"), F.ceil(F.col("m") / part)))
+                 .withColumn("big", F.col("m") > part)
                  .withColumn("shard", F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(shards)).cast("int")).drop("m"))
-    linked = _propagate(linked, shards, n // shards, rounds)
+    linked = _propagate(linked, shards, n // shards, part, rounds)
 
     linked = global_index(linked, [F.col(c) for c in ("shard", "g", "doc_id", "size", "text_crc32")], "place")
     count = dict(linked.groupBy("shard").count().collect())
