@@ -5,7 +5,7 @@ import numpy as np
 
 from barsight.llm.common import components, global_index
 from barsight.llm.near_dedup import keep_one, link_documents, sketch
-from barsight.llm.passages import WORDS, aligned_run, compact_windows, repeated_passages, without_repeats
+from barsight.llm.passages import WORDS, compact_windows, good_runs, repeated_passages, without_repeats
 from tests.llm.conftest import text, words
 
 
@@ -94,12 +94,17 @@ def test_compact_windows_cover_each_long_subsequence_once():
             assert hit == [min(range(i, j + 1), key=lambda p: key[p])]
 
 
-def test_aligned_run_is_the_longest():
-    same = np.array([0, 1, 1, 1, 1, 0, 1, 1, 1, 1, 1, 1, 1, 0, 0, 0, 1], float)
-    x, y = aligned_run(same, 8)
-    best = max((b - a, a, b) for a in range(9) for b in range(8, 17)
-               if same[a] and same[b] and same[a:b + 1].mean() >= 2 * .75 / 1.75 - 1e-9)
-    assert y - x == best[0]
+def test_good_runs_begin_with_the_longest():
+    rng = np.random.default_rng(5)
+    for _ in range(50):
+        same = (rng.random(40) < 0.85).astype(float)
+        got = good_runs(same, 6)
+        every = [(b - a, a, b) for a in range(40) for b in range(a + 5, 40)
+                 if same[a] and same[b] and same[a:b + 1].mean() >= 2 * .75 / 1.75 - 1e-9]
+        assert bool(got) == bool(every)
+        if got:
+            assert max(y - x for x, y in got) == max(every)[0]
+            assert all(same[x:y + 1].mean() >= 2 * .75 / 1.75 - 1e-9 for x, y in got)
 
 
 def test_repeated_passages(spark):
