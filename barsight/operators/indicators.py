@@ -36,6 +36,7 @@ from barsight.operators.series import (
     seeded_average_terms, sma, wilder_terms, window_total,
 )
 
+# The names of the model's features, in the model's order.
 FEATURES = [
     "sma_10", "sma_20", "sma_50", "sma_200",
     "ema_10", "ema_50",
@@ -59,15 +60,6 @@ ADX_LEN = 14
 SIGNAL_LEN = 9
 
 
-def relax_constraint_inference(spark) -> None:
-    """The feature plan carries ~100 aliased columns through a dozen window
-    stages; with the 32-column completeness filter on top, Catalyst's
-    constraint inference grows combinatorially and can stall planning for
-    minutes.  The plan gains nothing from it (no joins to push inferred
-    filters into), so it is switched off for the session."""
-    spark.conf.set("spark.sql.constraintPropagation.enabled", "false")
-
-
 def _div(a, b):
     return F.try_divide(a, b)
 
@@ -90,7 +82,6 @@ def feature_set(prices: DataFrame, by: list[str] | tuple = ("ticker",), t: str =
     """
     by = list(by)
     keep = list(keep or [])
-    relax_constraint_inference(prices.sparkSession)
     base = prices.select(*by, t, "open", "high", "low", "close", "volume", *keep)
     df = number_rows(base, by, t, block)
     C, H, L, V = (F.col(x) for x in ("close", "high", "low", "volume"))

@@ -14,8 +14,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BLOCK = 256  # rows per block; r**-255 stays finite for every r > 0.07
-_CUTOFF = 41.5  # exp(-41.5) < 1e-18: carried weight below double precision
+BLOCK = 256  # rows per block; r**-255 must stay finite (checked)
 
 
 def number_rows(df: DataFrame, by: list[str], t: str, block: int = BLOCK) -> DataFrame:
@@ -70,15 +69,6 @@ def cumsum(x, by) -> Column:
 
 
 # --------------------------------------------------------------------------- W7
-def carry_blocks(r: float, block: int = BLOCK) -> int:
-    """Number of earlier blocks whose weight r**(block*k) is still above 1e-18."""
-    if r <= 0.0:
-        return 0
-    if r >= 1.0:
-        raise ValueError("decayed scans need 0 <= r < 1; use cumsum for r = 1")
-    return max(1, int(math.ceil(_CUTOFF / (-block * math.log(r)))))
-
-
 def _in_block(by: list[str]) -> Window:
     return Window.partitionBy(*by, "_blk").orderBy("rn").rowsBetween(Window.unboundedPreceding, 0)
 
@@ -104,35 +94,41 @@ def scan_inputs(specs: list[tuple[str, Column, float]], by: list[str]) -> list[C
     return cols
 
 
+def _earlier_blocks(by: list[str]) -> Window:
+    """All rows of earlier blocks: a range frame that grows once per block."""
+    return Window.partitionBy(*by).orderBy("_blk").rangeBetween(Window.unboundedPreceding, -1)
+
+
 def scan_carries(specs: list[tuple[str, Column, float]], by: list[str],
                  block: int = BLOCK) -> list[Column]:
-    """Phase 2: block-end values of the previous K blocks, ``_e<j>_<name>``."""
-    off = F.col("_off")
-    cols = []
-    for name, _b, r in specs:
-        end = F.when(off == block - 1, F.col(f"_u_{name}"))
-        for j in range(1, carry_blocks(float(r), block) + 1):
-            cols.append(F.last(end, ignorenulls=True).over(_block_back(by, j)).alias(f"_e{j}_{name}"))
-    return cols
+    """Phase 2: the end values of all earlier blocks, oldest first, ``_e_<name>``
+    (bars / ``block`` values)."""
+    last = F.col("_off") == block - 1
+    return [F.collect_list(F.when(last, F.col(f"_u_{name}")))
+            .over(_earlier_blocks(by)).alias(f"_e_{name}") for name, _b, r in specs if float(r) > 0]
+
+
+def _fold(ratio: float):
+    return lambda carried, end: carried * F.lit(ratio) + end
 
 
 def scan_results(specs: list[tuple[str, Column, float]], block: int = BLOCK) -> tuple[list[Column], list[str]]:
-    """Phase 3: ``y = u + r^(off+1) * sum_j R^(j-1) e_j``; returns (columns, helper names)."""
+    """Phase 3: ``y = u + r^(off+1) * Y``, ``Y`` the fold ``Y = R * Y + e`` of the
+    earlier block ends, ``R = r^block``; returns (columns, helper names)."""
     off = F.col("_off")
     out, helpers = [], []
     for name, _b, r in specs:
         r = float(r)
-        k = carry_blocks(r, block)
+        if r >= 1.0 or (r > 0 and r ** -(block - 1) == math.inf):
+            raise ValueError(f"decayed scan in blocks of {block} needs r = 0 or {10 ** (-300 / block):.2f} < r < 1")
         y = F.col(f"_u_{name}")
-        if k:
+        helpers.append(f"_u_{name}")
+        if r > 0:
             big_r = r ** block
-            carry = None
-            for j in range(1, k + 1):
-                term = F.lit(big_r ** (j - 1)) * F.coalesce(F.col(f"_e{j}_{name}"), F.lit(0.0))
-                carry = term if carry is None else carry + term
-            y = y + F.pow(F.lit(r), off + 1) * carry
+            fold = F.aggregate(f"_e_{name}", F.lit(0.0), _fold(big_r))
+            y = y + F.pow(F.lit(r), off + 1) * fold
+            helpers.append(f"_e_{name}")
         out.append(y.alias(name))
-        helpers += [f"_u_{name}"] + [f"_e{j}_{name}" for j in range(1, k + 1)]
     return out, helpers
 
 
@@ -146,11 +142,10 @@ def decayed_sums(df: DataFrame, specs: list[tuple[str, Column, float]], by: list
     1. inside a block of ``block`` rows: ``u_t = r^off * sum_{j<=t} b_j r^-off_j``
        (partition ``(by, _blk)``, running sum);
     2. block ends ``e_k = u`` at ``off = block-1``; the value carried into block
-       k is ``Y_{k-1} = sum_{j>=1} R^(j-1) e_{k-j}`` with ``R = r^block``, read
-       from the previous ``K`` blocks with one range frame per block
-       (``last(e)`` over ``_blk-j``, evaluated once per block); blocks older
-       than ``K`` weigh less than 1e-18 relative and vanish in double
-       arithmetic exactly as they do in a sequential loop;
+       k is the fold ``Y = R Y + e`` over all earlier block ends, ``R =
+       r^block`` (one value per block, so bars / block per series): no block is
+       left out, however long ago, so ratios of two decayed sums stay right
+       when both have decayed far;
     3. ``y_t = u_t + r^(off+1) * Y_{k-1}``.
 
     ``df`` must come from :func:`number_rows` with the same ``block``.
@@ -201,32 +196,15 @@ def rolling_sums(df: DataFrame, specs: list[tuple[str, Column, int]], by: list[s
     previous block's total when the window straddles a block edge — O(1) per
     row, and the rounding error is that of a sum of at most ``2*block`` terms
     (counts are exact)."""
-    off, rn = F.col("_off"), F.col("rn")
-    pre = []
-    for name, x, length in specs:
-        if length > block:
-            raise ValueError("rolling length must not exceed the block size")
-        pre += [F.sum(F.coalesce(x, F.lit(0.0))).over(_in_block(by)).alias(f"_cs_{name}"),
-                F.count(x).over(_in_block(by)).alias(f"_cc_{name}")]
-    df = df.select("*", *pre)
-    mid = []
-    for name, _x, length in specs:
-        for kind in ("cs", "cc"):
-            c = F.col(f"_{kind}_{name}")
-            mid += [F.lag(c, length).over(ordered(by)).alias(f"_{kind}l_{name}"),
-                    F.last(F.when(off == block - 1, c), ignorenulls=True)
-                    .over(_block_back(by, 1)).alias(f"_{kind}p_{name}")]
-    df = df.select("*", *mid)
-    out, drop = [], []
-    for name, _x, length in specs:
-        for kind, suffix in (("cs", "sum"), ("cc", "n")):
-            cur, lagged, prev = (F.col(f"_{kind}_{name}"), F.col(f"_{kind}l_{name}"),
-                                 F.col(f"_{kind}p_{name}"))
-            val = (F.when(rn < length, cur)
-                   .when(off >= length, cur - lagged)
-                   .otherwise(cur + prev - lagged))
-            out.append(val.alias(f"{name}_{suffix}"))
-            drop += [f"_{kind}_{name}", f"_{kind}l_{name}", f"_{kind}p_{name}"]
+    if any(length > block for _n, _x, length in specs):
+        raise ValueError("rolling length must not exceed the block size")
+    df = df.select("*", *[c for name, x, _l in specs for c in block_running(x, by, name)])
+    df = df.select("*", *[c for name, _x, length in specs
+                          for c in (*block_lags(name, by, length), *block_previous_totals(name, by, block))])
+    out = [window_total(name, length, kind).alias(f"{name}_{suffix}")
+           for name, _x, length in specs for kind, suffix in (("cs", "sum"), ("cc", "n"))]
+    drop = [f"_{kind}{part}_{name}" for name, _x, length in specs
+            for kind in ("cs", "cc") for part in ("", f"l{length}", "p")]
     return df.select("*", *out).drop(*drop)
 
 

@@ -29,11 +29,7 @@ def run_merge(final: DataFrame, staging: DataFrame, keys: list[str] | None = Non
     report = quality_report(staging, strict, soft, threshold).collect()
     row_count = report[0]["row_count"] if report else staging.count()
     for r in report:
-        if r["level"] == "warn":
-            log.warning("staging has high nulls in %s: %d (%.2f%%)", r["column_name"], r["null_count"],
-                        100 * r["null_pct"])
-        elif r["level"] == "info":
-            log.info("staging has minor nulls in %s: %d", r["column_name"], r["null_count"])
+        log.info("null profile: %s", r.asDict())
     if gate and any(r["level"] == "abort" for r in report):
         bad = [r["column_name"] for r in report if r["level"] == "abort"]
         log.error("nulls in strict columns %s; merge aborted", bad)
@@ -57,7 +53,8 @@ def merge_tables(spark, final_root: str, staging_root: str, truncate_staging: bo
     status, snapshot = run_merge(final, staging, **kwargs)
     out = {"status": status}
     if status == "merged":
-        snapshot = snapshot.checkpoint()  # cut lineage before reading counts and writing
+        counts = merge_counts(merge_upsert(final, staging, kwargs.get("keys"), kwargs.get("strict")))
+        out["counts"] = counts.first().asDict()
         out["path"] = versioned.write_next(snapshot, final_root)
         merged = spark.read.parquet(out["path"])
         out["post_profile"] = post_merge_profile(merged, kwargs.get("soft")).first().asDict()

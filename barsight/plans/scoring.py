@@ -12,6 +12,7 @@ from barsight.operators.indicators import FEATURES, feature_set
 from barsight.operators.labels import with_labels
 from barsight.operators.ranking import score_directions, threshold_flag, top_k_per_group
 
+# History limits, picks per side, and the columns of the picks.
 TRAIN_MIN_HISTORY = 200
 SCORE_MIN_HISTORY = 50
 SERVICE_MIN_HISTORY = 50
@@ -41,13 +42,16 @@ def training_frame(prices: DataFrame, min_bars: int = TRAIN_MIN_HISTORY) -> Data
 
 
 def latest_valid(df: DataFrame, by: list[str] | None = None, t: str = "date") -> DataFrame:
-    """Newest row per series among the given (already filtered) rows.
+    """Newest row per series among the given (already filtered) rows, one
+    even where the newest date stands twice (then the later bar number, or the
+    greater values).
 
-    A window max over the series partition the feature plan already created:
-    no extra exchange."""
+    A window over the series partition the feature plan already created: no
+    extra exchange."""
     by = by or ["ticker"]
-    return (df.withColumn("_latest", F.max(t).over(Window.partitionBy(*by)))
-            .where(F.col(t) == F.col("_latest")).drop("_latest"))
+    ties = [F.col(x).desc_nulls_last() for x in ("rn", "close", "volume", "open", "high", "low") if x in df.columns]
+    order = Window.partitionBy(*by).orderBy(F.col(t).desc_nulls_last(), *ties)
+    return df.withColumn("_place", F.row_number().over(order)).where("_place = 1").drop("_place")
 
 
 def formula_probability(close_loc="close_loc", roc_1="roc_1") -> Column:

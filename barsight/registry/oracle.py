@@ -7,11 +7,14 @@ as-of lookup as a theta join with ROW_NUMBER.
 
 from __future__ import annotations
 
+from barsight.operators.asof import DEFAULT_HISTORY
+from barsight.operators.indicators import FEATURES as FEATURE_NAMES
 from barsight.registry.sqlparts import (
-    FEATURE_NAMES, bars_sql, div, event_bars_sql, feature_ctes, prices_sql, r4, r6,
+    bars_sql, div, event_bars_sql, feature_ctes, prices_sql, r4, r6,
 )
+from barsight.sources.fixtures import FEATURE_SOFT, FEATURE_STRICT
 from barsight.registry.spark_side import (
-    AS_OF, BASE_URI, F4_SCALARS, FLAG_THRESHOLD, HISTORY_CHECK_LIMIT, IND_GROUPS, LINEAR_SCAN_R,
+    AS_OF, BASE_URI, F4_SCALARS, FLAG_THRESHOLD, IND_GROUPS, LINEAR_SCAN_R,
 )
 
 BARS_W = bars_sql("week")
@@ -19,9 +22,7 @@ BARS_D = bars_sql(None)
 PRICES_W = prices_sql(BARS_W)
 PRICES_D = prices_sql(BARS_D)
 
-F4_STRICT = ["ticker", "quarter_end_date", "earnings_call_date", "summary_embedding",
-             "sector", "industry", "adj_close_on_call_date", "industry_sector"]
-F4_SOFT = ["eps_surprise", "summary_norm", "lda_topic_0", "pos_prob"]
+F4_STRICT, F4_SOFT = FEATURE_STRICT, FEATURE_SOFT
 
 
 def feats_w() -> str:
@@ -139,9 +140,10 @@ miss_f AS (
                         lambda x: x IS NOT NULL) AS missing
   FROM dec)"""
 
-F8_CTES = f"""
-wb AS ({BARS_W}),
-pw AS ({PRICES_W}),
+def f8_ctes(bars: str, prices: str) -> str:
+    return f"""
+wb AS ({bars}),
+pw AS ({prices}),
 nb AS (SELECT ticker, date, ROW_NUMBER() OVER (PARTITION BY ticker ORDER BY date) AS n FROM wb),
 firsts AS (SELECT min(ticker) AS ticker, arg_min(d, ticker) AS d
            FROM (SELECT ticker, min(date) AS d FROM wb GROUP BY ticker)),
@@ -156,7 +158,18 @@ hist AS (
     SELECT r.ticker, r.target_date, p.date, p.open, p.high, p.low, p.close, p.volume,
       ROW_NUMBER() OVER (PARTITION BY r.ticker, r.target_date ORDER BY p.date DESC) AS _k
     FROM vr r JOIN pw p ON p.ticker = r.ticker AND p.date <= r.target_date)
-  WHERE _k <= {HISTORY_CHECK_LIMIT})"""
+  WHERE _k <= {DEFAULT_HISTORY})"""
+
+
+F8_CTES = f8_ctes(BARS_W, PRICES_W)
+F8_DAILY = f8_ctes(BARS_D, PRICES_D)
+
+
+def _service_sql(ctes: str) -> str:
+    return f"""WITH {ctes}, {feature_ctes('SELECT * FROM hist', ['ticker', 'target_date'])}
+SELECT {_round_list(FEATURE_NAMES)}, {r4('close')} AS close_price, volume, ticker,
+  strftime(target_date, '%Y-%m-%d') AS date
+FROM f6 WHERE n_bars >= 50 AND rn = n_bars - 1"""
 
 
 def train_ctes() -> str:
@@ -319,10 +332,16 @@ FROM miss""",
     "strict_ok": f"WITH {F4_CTES} SELECT ticker, quarter_end_date, load_seq, ({STRICT_OK}) AS strict_ok FROM staging",
     "matured": (f"WITH {F4_CTES} SELECT ticker, quarter_end_date, load_seq, (max_close_30d IS NULL AND "
                 f"earnings_call_date <= DATE '{AS_OF}' - INTERVAL 31 DAY) AS matured FROM final"),
-    "service_rows": f"""WITH {F8_CTES}, {feature_ctes('SELECT * FROM hist', ['ticker', 'target_date'])}
-SELECT {_round_list(FEATURE_NAMES)}, {r4('close')} AS close_price, volume, ticker,
-  strftime(target_date, '%Y-%m-%d') AS date
-FROM f6 WHERE n_bars >= 50 AND rn = n_bars - 1""",
+    "service_rows": _service_sql(F8_CTES),
+    "service_rows_300": _service_sql(F8_DAILY),
+    "stream_features": _service_sql(F8_CTES),
+    "price_history_asof_300": f"WITH {F8_DAILY} SELECT * FROM hist",
+    "stream_load": (f"WITH {F7_CTES} SELECT ticker, event_type, props FROM miss_f "
+                    f"WHERE status = 'ok' AND len(missing) = 0"),
+    "feature_set_daily": (f"WITH {feature_ctes(PRICES_D)} SELECT ticker, date, {_round_list(IND_GROUPS['feature_set'])} FROM f6"),
+    "incremental_indicators": (f"{feats_w()} SELECT ticker, date, "
+                               f"{_round_list(['close', 'ema_10', 'ema_50', 'obv', 'rsi_14'])}, FALSE AS late FROM f6"),
+    "threshold_default": "SELECT CAST(0.5 AS DOUBLE) AS threshold, COUNT(DISTINCT l_suppkey) AS tickers FROM lineitem",
     "max_close_by_day": (f"SELECT ticker, date AS call_date, MAX(adj_close) AS calculated_max_close "
                          f"FROM ({BARS_D}) GROUP BY ticker, date"),
     "price_feature_join": f"""WITH {F4_CTES}, db AS ({BARS_D})

@@ -38,7 +38,6 @@ from barsight.sources.messages import decode_messages, load_counts, missing_fiel
 from barsight.sources.prices import scan_prices
 
 BASE_URI = "file:///data"
-HISTORY_CHECK_LIMIT = 100
 AS_OF = "2000-01-01"
 FLAG_THRESHOLD = 0.6
 MESSAGE_FIELDS = ["ticker", "event_type"]
@@ -115,7 +114,12 @@ def q_coerce_float32(spark, root):
 
 
 def q_price_history_asof(spark, root):
-    return history_asof(prices_f1(spark, root), requests_f8(spark, root), HISTORY_CHECK_LIMIT)
+    return history_asof(prices_f1(spark, root), requests_f8(spark, root))
+
+
+def q_price_history_asof_300(spark, root):
+    """The default of 300 bars over daily bars, so that histories are cut."""
+    return history_asof(prices_f2(spark, root), FX.feature_requests(FX.daily_bars(spark, root)))
 
 
 def q_existing_keys(spark, root):
@@ -188,10 +192,29 @@ def q_matured(spark, root):
 
 
 def q_service_rows(spark, root):
-    out = service_rows(prices_f1(spark, root), requests_f8(spark, root), HISTORY_CHECK_LIMIT)
+    out = service_rows(prices_f1(spark, root), requests_f8(spark, root))
+    return out.select(*[r4(c) for c in FEATURES], r4("close_price"), "volume", "ticker", "date")
+
+
+def q_service_rows_300(spark, root):
+    out = service_rows(prices_f2(spark, root), FX.feature_requests(FX.daily_bars(spark, root)))
     return out.select(*[r4(c) for c in FEATURES], r4("close_price"), "volume", "ticker", "date")
 
 
+def q_feature_set_daily(spark, root):
+    """Series of several blocks."""
+    return feature_set(prices_f2(spark, root)).select("ticker", "date", *[r4(c) for c in FEATURES])
+
+
+def q_threshold_default(spark, root):
+    """No stored threshold: the default, beside the universe it applies to."""
+    from barsight.operators.model import load_threshold
+    from barsight.session import ensure_checkpoint_dir
+    bars = prices_f1(spark, root)
+    return bars.agg(F.count_distinct("ticker").alias("tickers")).select(
+        load_threshold(spark, f"{ensure_checkpoint_dir(spark)}/no-such-run").alias("threshold"), "tickers")
+
+
 # --------------------------------------------------------------------------- aggregations
 def q_max_close_by_day(spark, root):
     return max_close_by_day(FX.daily_bars(spark, root))
@@ -425,6 +448,10 @@ QUERIES = {
     "scan_prices": q_scan_prices,
     "coerce_float32": q_coerce_float32,
     "price_history_asof": q_price_history_asof,
+    "price_history_asof_300": q_price_history_asof_300,
+    "service_rows_300": q_service_rows_300,
+    "feature_set_daily": q_feature_set_daily,
+    "threshold_default": q_threshold_default,
     "existing_keys": q_existing_keys,
     "existing_feature_keys": q_existing_feature_keys,
     "list_missing_work": q_list_missing_work,

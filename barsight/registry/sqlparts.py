@@ -47,16 +47,6 @@ def prices_sql(raw: str) -> str:
             f"FROM ({raw}) WHERE adj_close IS NOT NULL")
 
 
-FEATURE_NAMES = [
-    "sma_10", "sma_20", "sma_50", "sma_200", "ema_10", "ema_50", "adx_14",
-    "macd_12_26_9", "macdh_12_26_9", "macds_12_26_9", "rsi_14", "rsi_5",
-    "stochk_14_3_3", "stochd_14_3_3", "roc_1", "roc_3", "roc_5", "atrr_14", "atr_ratio",
-    "bbl_20_2_0", "bbu_20_2_0", "bbb_20_2_0", "bbp_20_2_0", "obv", "rvol_20", "volume_delta",
-    "price_vs_sma20", "price_vs_sma50", "price_vs_sma200", "dist_from_high", "dist_from_low",
-    "close_loc",
-]
-
-
 def feature_ctes(prices: str, by: list[str] | None = None, t: str = "date",
                  extra: list[str] | None = None) -> str:
     """CTE chain ``f0 .. f6``; ``f6`` holds every feature per bar."""

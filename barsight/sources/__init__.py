@@ -1 +1 @@
-from barsight.sources.prices import read_prices, read_table  # noqa: F401
+from barsight.sources.prices import read_table  # noqa: F401

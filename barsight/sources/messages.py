@@ -26,25 +26,23 @@ def decode_messages(envelopes: DataFrame, row_schema: StructType, body: str = "b
     Output: ``id_col, pos, <row fields>, status`` with status in
     {'ok', 'malformed', 'bad_envelope'}."""
     env = envelopes.select(F.col(id_col), F.from_json(F.col(body), ENVELOPE).alias("_e"))
-    msgs = F.when(F.col("_e.message").isNotNull(), F.array(F.col("_e.message"))) \
-        .otherwise(F.col("_e.messages"))
-    bad = env.where(msgs.isNull()).select(
-        F.col(id_col), F.lit(0).alias("pos"),
-        *[F.lit(None).cast(f.dataType).alias(f.name) for f in row_schema.fields],
-        F.lit("bad_envelope").alias("status"))
-    exploded = env.where(msgs.isNotNull()).select(F.col(id_col), F.posexplode(msgs).alias("pos", "_m"))
+    msgs = F.when(F.col("_e.message").isNotNull(), F.array(F.col("_e.message"))).otherwise(F.col("_e.messages"))
+    env = env.select(F.col(id_col), msgs.alias("_msgs"), msgs.isNull().alias("_bad"))
+    # an envelope of another shape gives one row without message; an empty list gives none
+    exploded = (env.where("_bad OR size(_msgs) > 0")
+                .select(F.col(id_col), "_bad", F.posexplode_outer("_msgs").alias("pos", "_m")))
     decoded = exploded.select(
-        F.col(id_col), "pos",
+        F.col(id_col), "_bad", F.coalesce("pos", F.lit(0)).alias("pos"),
         F.expr("try_validate_utf8(cast(try_to_binary(_m.data, 'base64') AS STRING))").alias("_txt"))
     is_object = (F.col("_txt").isNotNull() & F.ltrim(F.col("_txt")).startswith("{")
                  & F.expr("try_parse_json(_txt) IS NOT NULL"))
-    parsed = decoded.select(F.col(id_col), "pos", F.from_json(F.col("_txt"), row_schema).alias("_r"),
+    parsed = decoded.select(F.col(id_col), "pos", "_bad", F.from_json(F.col("_txt"), row_schema).alias("_r"),
                             is_object.alias("_okjson"))
-    good = parsed.select(F.col(id_col), "pos",
-                         *[F.when(F.col("_okjson"), F.col(f"_r.{f.name}")).alias(f.name)
-                           for f in row_schema.fields],
-                         F.when(F.col("_okjson"), F.lit("ok")).otherwise(F.lit("malformed")).alias("status"))
-    return good.unionByName(bad)
+    status = (F.when(F.col("_bad"), F.lit("bad_envelope")).when(F.col("_okjson"), F.lit("ok"))
+              .otherwise(F.lit("malformed")))
+    return parsed.select(F.col(id_col), "pos",
+                         *[F.when(F.col("_okjson"), F.col(f"_r.{f.name}")).alias(f.name) for f in row_schema.fields],
+                         status.alias("status"))
 
 
 def missing_fields(df: DataFrame, fields) -> F.Column:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from barsight.functions.columns import finite_or_null
+
 PRICE_COLUMNS = ["ticker", "date", "open", "high", "low", "adj_close", "volume"]
 
 
@@ -16,17 +18,10 @@ def scan_prices(raw: DataFrame) -> DataFrame:
     """S1 over an already-loaded ``price_data`` frame.
 
     Rows with a NULL ``adj_close`` are dropped and ``adj_close`` becomes
-    ``close``.  The reference's ORDER BY is not applied: every consumer orders
+    ``close``; NaN and infinite values count as missing.  The reference's ORDER BY is not applied: every consumer orders
     inside its own window, so a global sort would be a wasted shuffle.
     """
-    return (raw.where(F.col("adj_close").isNotNull())
-            .select("ticker", "date", "open", "high", "low",
-                    F.col("adj_close").alias("close"), "volume"))
-
-
-def read_prices(spark: SparkSession, path: str) -> DataFrame:
-    """``SELECT ticker,date,open,high,low,adj_close AS close,volume WHERE adj_close IS NOT NULL``.
-
-    The filter and the column list reach the Parquet scan (PushedFilters /
-    ReadSchema)."""
-    return scan_prices(spark.read.parquet(path))
+    values = {x: finite_or_null(x) for x in ("open", "high", "low", "adj_close", "volume")}
+    return (raw.where(F.col("adj_close").isNotNull()).where(values["adj_close"].isNotNull())
+            .select("ticker", "date", values["open"].alias("open"), values["high"].alias("high"),
+                    values["low"].alias("low"), values["adj_close"].alias("close"), values["volume"].alias("volume")))

@@ -38,13 +38,14 @@ def start_feature_stream(spark: SparkSession, prices: DataFrame, requests_dir: s
     (ticker, target_date) (I31) -> last row (P14) -> JSON rows (K5).
 
     The per-request warehouse query of the reference becomes one join per
-    micro-batch; invalid requests are dropped (acknowledged)."""
+    micro-batch; invalid requests, also ones whose date is none, are dropped
+    (acknowledged).  Missing values are written as JSON nulls."""
     stream = _reader(spark, requests_dir, REQUEST_SCHEMA, max_files_per_trigger)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        reqs = batch.select("ticker", F.to_date("date").alias("date"))
+        reqs = batch.select("ticker", F.col("date").try_cast("date").alias("date"))
         rows = service_rows(prices, reqs, limit, min_bars)
-        rows.select(F.to_json(F.struct(*rows.columns)).alias("value")) \
+        rows.select(F.to_json(F.struct(*rows.columns), {"ignoreNullFields": "false"}).alias("value")) \
             .write.mode("overwrite").text(f"{out_dir}/batch={batch_id}")
 
     w = stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)

@@ -17,7 +17,6 @@ def spark():
          .config("spark.sql.shuffle.partitions", "8")
          .config("spark.ui.enabled", "false")
          .config("spark.sql.session.timeZone", "UTC")
-         .config("spark.sql.constraintPropagation.enabled", "false")
          .config("spark.checkpoint.dir", ckpt)
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
