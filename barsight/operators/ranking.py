@@ -25,11 +25,6 @@ def top_k_per_group(df: DataFrame, group: list[str], order: list[Column], k: int
     return out.drop("_rank")
 
 
-def ranked(df: DataFrame, order: list[Column]) -> DataFrame:
-    """Overall ordering of a (small) result."""
-    return df.orderBy(*order)
-
-
 def threshold_flag(prob: Column, threshold: Column) -> Column:
     """1 if ``prob > threshold`` (strict), else 0."""
     return F.when(prob > threshold, F.lit(1)).otherwise(F.lit(0)).cast("bigint")
@@ -55,11 +50,6 @@ def chronological_split(df: DataFrame, t: str = "date", tie: list[str] | None =
             .drop("_pos"))
 
 
-def top_k_rows(df: DataFrame, order: list[Column], k: int) -> DataFrame:
-    """T4 helper: global top-k (TakeOrderedAndProject: a heap per partition)."""
-    return df.orderBy(*order).limit(k)
-
-
 def score_directions(df: DataFrame, probs: dict[str, Column], thresholds: dict[str, Column],
                      keep: list[str]) -> DataFrame:
     """One frame with a row per (bar, contract) for every scored direction."""

@@ -112,21 +112,23 @@ def plan_merge(target: DataFrame, source: DataFrame, keys: list[str] | None = No
     target only -> 'keep'; source only -> 'insert' when ``insert_if`` holds,
     else 'skip' (dropped from the snapshot but reported).
 
-    A NULL key never matches.  Rows with a NULL key are routed around the join
-    so they cannot pile up in the single hash partition of the NULL key.
+    A NULL key never matches.  Rows with a NULL key get a salt that differs
+    between the two sides, so that one full outer join takes all rows and they
+    do not pile up in the hash partition of the NULL key.
     """
     keys = keys or PRIMARY_KEYS
     cols = target.columns
     insert_if = insert_if if insert_if is not None else F.lit(True)
-    key_ok_t = all_not_null(keys)
-    t = target.select(*[F.col(c).alias(f"_t_{c}") for c in cols], F.lit(True).alias("_in_t"),
-                      key_ok_t.alias("_tk"))
+
+    def salt(sign: int) -> Column:
+        spread = F.pmod(F.xxhash64(*cols), F.lit(1024)) + 1
+        return F.when(all_not_null(keys), F.lit(0)).otherwise(F.lit(sign) * spread).cast("int")
+
+    t = target.select(*[F.col(c).alias(f"_t_{c}") for c in cols], F.lit(True).alias("_in_t"), salt(1).alias("_t_salt"))
     s = source.select(*[F.col(c).alias(f"_s_{c}") for c in cols], F.lit(True).alias("_in_s"),
-                      insert_if.alias("_ins"), all_not_null(keys).alias("_sk"))
-    t_join, t_null = t.where("_tk"), t.where(~F.col("_tk"))
-    s_join, s_null = s.where("_sk"), s.where(~F.col("_sk"))
-    cond = [F.col(f"_t_{k}") == F.col(f"_s_{k}") for k in keys]
-    joined = t_join.join(s_join, cond, "full_outer")
+                      insert_if.alias("_ins"), salt(-1).alias("_s_salt"))
+    cond = [F.col(f"_t_{k}") == F.col(f"_s_{k}") for k in keys] + [F.col("_t_salt") == F.col("_s_salt")]
+    joined = t.join(s, cond, "full_outer")
     both = F.col("_in_t").isNotNull() & F.col("_in_s").isNotNull()
     only_s = F.col("_in_t").isNull()
     action = (F.when(both, F.lit("update")).when(only_s & F.col("_ins"), F.lit("insert"))
@@ -138,12 +140,7 @@ def plan_merge(target: DataFrame, source: DataFrame, keys: list[str] | None = No
         else:
             out_cols.append(F.when(F.col("_in_s").isNotNull(), F.col(f"_s_{c}"))
                             .otherwise(F.col(f"_t_{c}")).alias(c))
-    merged = joined.select(*out_cols, action.alias("_action"))
-    kept_null = t_null.select(*[F.col(f"_t_{c}").alias(c) for c in cols], F.lit("keep").alias("_action"))
-    src_null = s_null.select(*[F.col(f"_s_{c}").alias(c) for c in cols],
-                             F.when(F.col("_ins"), F.lit("insert")).otherwise(F.lit("skip"))
-                             .alias("_action"))
-    return merged.unionByName(kept_null).unionByName(src_null)
+    return joined.select(*out_cols, action.alias("_action"))
 
 
 def merge_snapshot(plan: DataFrame) -> DataFrame:

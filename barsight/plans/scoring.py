@@ -10,6 +10,7 @@ from barsight.functions.columns import coerce_float, complete_rows, null_nonfini
 from barsight.operators.asof import DEFAULT_HISTORY, history_asof
 from barsight.operators.indicators import FEATURES, feature_set
 from barsight.operators.labels import with_labels
+from barsight.session import ensure_checkpoint_dir
 from barsight.operators.ranking import score_directions, threshold_flag, top_k_per_group
 
 # History limits, picks per side, and the columns of the picks.
@@ -111,23 +112,19 @@ def daily_picks_with_models(prices: DataFrame, models: dict, thresholds: dict |
     (U1), as in the reference."""
     from barsight.operators.model import score
     latest = latest_valid(clean_features(min_history(feature_set(prices), min_bars)))
-    feats = latest.select("ticker", "date", "close", *FEATURES)
-    thresholds = thresholds or {}
-    parts = []
-    for direction, model in models.items():
-        if model is None:
-            continue
-        contract = "CALL" if direction == "LONG" else "PUT"
-        thr = thresholds.get(direction, F.lit(0.5))
-        scored = score(model, feats, "prob").select(
-            "ticker", "date", "close", "prob", F.lit(contract).alias("contract_type"),
-            threshold_flag(F.col("prob"), thr).alias("prediction"))
-        parts.append(scored)
-    if not parts:
+    # one row per ticker; cut here, so that the models' plans do not carry the feature plan
+    ensure_checkpoint_dir(prices.sparkSession)
+    feats = latest.select("ticker", "date", "close", *FEATURES).checkpoint()
+    models = {d: m for d, m in models.items() if m is not None}
+    if not models:
         raise ValueError("no model available for any direction")
-    union = parts[0]
-    for p in parts[1:]:
-        union = union.unionByName(p)
+    for direction, model in models.items():          # both models on one frame: the features are computed once
+        feats = score(model, feats, f"_prob_{direction}")
+    thresholds = thresholds or {}
+    each = F.explode(F.array(*[F.struct(
+        F.lit("CALL" if d == "LONG" else "PUT").alias("contract_type"), F.col(f"_prob_{d}").alias("prob"),
+        threshold_flag(F.col(f"_prob_{d}"), thresholds.get(d, F.lit(0.5))).alias("prediction")) for d in models]))
+    union = feats.select("ticker", "date", "close", each.alias("_p")).select("ticker", "date", "close", "_p.*")
     top = top_k_per_group(union, ["contract_type"],
                           [F.col("prob").desc(), F.col("ticker").asc(), F.col("date").asc()], k)
     return top.select(*PREDICTION_COLUMNS).orderBy(

@@ -17,7 +17,7 @@ from barsight.operators.asof import history_asof, valid_requests
 from barsight.operators.indicators import FEATURES, feature_set
 from barsight.operators.labels import with_labels
 from barsight.operators.metrics import (
-    average_precision, brier, class_balance, evaluate, matrix_problems, positive_weight,
+    average_precision, brier, class_balances, evaluate, matrix_problems, positive_weight,
     precision_at_k, with_class_weight,
 )
 from barsight.operators.ranking import (
@@ -241,11 +241,8 @@ def q_post_merge_profile(spark, root):
 
 def q_class_balance(spark, root):
     tf = training_frame(prices_f1(spark, root))
-    parts = [class_balance(tf, f"target_{d}").select(F.lit(d.upper()).alias("direction"),
-                                                     F.col(f"target_{d}").alias("target"), "n",
-                                                     r6("share"))
-             for d in ("long", "short")]
-    return parts[0].unionByName(parts[1])
+    return class_balances(tf, {"LONG": "target_long", "SHORT": "target_short"}).select(
+        "direction", "target", "n", r6("share"))
 
 
 def q_auto_weight(spark, root):

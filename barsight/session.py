@@ -56,9 +56,3 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         spark.conf.set("spark.checkpoint.dir", configured)
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
-
-
-def table_root(spark: SparkSession, name: str) -> str:
-    """A folder for written tables next to the shared checkpoint folder."""
-    root = ensure_checkpoint_dir(spark)
-    return f"{root.rstrip('/')}/tables/{name}"

@@ -14,15 +14,10 @@ from pyspark.sql import Window
 from barsight.sources.prices import read_table
 
 
-def _bars(df: DataFrame, ticker, ts, price, qty, order: list, unit: str | None,
-          cluster: list[str]) -> DataFrame:
-    """OHLCV bars per (ticker, period).
-
-    The raw rows are hash-partitioned by ``cluster`` before aggregating.  With
-    ``cluster=["ticker"]`` the bar aggregation and every later per-ticker
-    window share that single exchange (a group holds only a couple of rows, so
-    a map-side partial aggregation would cost a sort and save little); keys
-    with few distinct values (event types) cluster by ``(ticker, date)``."""
+def _bars(df: DataFrame, ticker, ts, price, qty, order: list, unit: str | None) -> DataFrame:
+    """OHLCV bars per (ticker, period), aggregated map-side before the shuffle:
+    a ticker that holds a large share of the raw rows is spread by date and
+    reduced to its bars before the per-ticker windows gather it."""
     if unit is None:
         date = ts.cast("date")
     elif unit in ("hour", "minute"):
@@ -32,7 +27,6 @@ def _bars(df: DataFrame, ticker, ts, price, qty, order: list, unit: str | None,
     o = F.struct(*order)
     return (df.select(ticker.alias("ticker"), date.alias("date"), price.alias("_p"),
                       qty.alias("_q"), o.alias("_o"))
-            .repartition(*cluster)
             .groupBy("ticker", "date")
             .agg(F.min_by("_p", "_o").alias("open"), F.max("_p").alias("high"),
                  F.min("_p").alias("low"), F.max_by("_p", "_o").alias("adj_close"),
@@ -46,7 +40,7 @@ def lineitem_bars(spark: SparkSession, root: str, unit: str | None = "week") ->
                  F.try_divide(F.col("l_extendedprice"), F.col("l_quantity")),
                  F.col("l_quantity"),
                  [F.col("l_shipdate"), F.col("l_orderkey"), F.col("l_linenumber"),
-                  F.col("l_partkey")], unit, ["ticker"])
+                  F.col("l_partkey")], unit)
 
 
 def weekly_bars(spark: SparkSession, root: str) -> DataFrame:
@@ -61,7 +55,7 @@ def event_bars(spark: SparkSession, root: str, key: str = "event_type") -> DataF
     """hourly bars from ``events`` (ticker = event_type or user_id)."""
     ev = read_table(spark, root, "events")
     return _bars(ev, F.col(key).cast("string"), F.col("ts"), F.col("value"), F.lit(1.0),
-                 [F.col("ts"), F.col("event_id")], "hour", ["ticker", "date"])
+                 [F.col("ts"), F.col("event_id")], "hour")
 
 
 # --- F4: feature table -------------------------------------------------------
