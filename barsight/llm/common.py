@@ -16,7 +16,20 @@ from barsight.session import ensure_checkpoint_dir
 BROADCAST_ROWS = 500_000
 
 
+#: Rows of an Arrow batch; Spark's default of 10,000 whole texts is held twice,
+#: in the JVM's buffers and in the Python worker, for each running task.
+ARROW_ROWS = 500
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Smaller Arrow batches, unless the session asks for a size of its own."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key) == "10000":
+        spark.conf.set(key, str(ARROW_ROWS))
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
@@ -25,6 +38,7 @@ def cut(df: DataFrame) -> DataFrame:
 
     Lineage ends there: a lost executor costs a re-read of a shared file."""
     spark = df.sparkSession
+    bounded_batches(spark)
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/cut-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

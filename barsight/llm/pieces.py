@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barsight.llm.common import fresh, read, same_fields
+from barsight.llm.common import bounded_batches, fresh, read, same_fields
 from barsight.llm.textarrays import U, list_column, mix, prefix_hash, seeds, span_hash, text_chunks
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -289,6 +289,7 @@ def encoded(rows: DataFrame, dropout: float = DROPOUT, seed: int = SEED, variant
             text: str = "text", key: str = "doc_id", ids: str = "ids") -> DataFrame:
     """``rows`` with the token ids of ``text`` as a further column."""
     place, at = rows.columns.index(text), rows.columns.index(key)
+    bounded_batches(rows.sparkSession)
 
     def run(batches):
         table = pieces(model)
