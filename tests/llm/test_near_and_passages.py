@@ -124,6 +124,19 @@ def test_repeated_passages(spark):
     assert 7 not in left and left[1] == rows[0][1] and left[2].split() == text(90, 13).split() + text(20, 14).split()
 
 
+def test_near_passages_with_words_put_in_and_left_out(spark):
+    base, other, long = words(60, 8), words(60, 22), words(400, 21)
+    spread = [w for k in range(0, 400, 40) for w in [*long[k:k + 40], f"q{k}"]]
+    rows = [(1, " ".join(base) + " " + text(50, 15) + " " + " ".join(other)), (2, text(70, 16) + " " + " ".join(base[:30] + ["zzz"] + base[30:])),
+            (3, text(70, 18) + " " + " ".join(other[:30] + other[31:])),
+            (4, " ".join(long)), (5, text(20, 19) + " " + " ".join(spread))]
+    got = {(r.doc_id, r.source_id): r for r in repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert set(got) == {(2, 1), (3, 1), (5, 4)}
+    assert (got[2, 1].start_word, got[2, 1].end_word) == (70, 131) and abs(got[2, 1].similarity - 52 / 61) < 1e-9
+    assert (got[3, 1].start_word, got[3, 1].end_word) == (70, 129)
+    assert got[5, 4].start_word == 20 and got[5, 4].end_word >= 429 and 0.75 <= got[5, 4].similarity < 0.85
+
+
 def test_passages_defined_cases(awkward, no_documents):
     got = {(r.doc_id, r.start_word, r.end_word, r.source_id) for r in repeated_passages(awkward).collect()}
     assert got == {(2, 0, 120, 1), (9, 0, 60, 1)} and WORDS == 50
