@@ -54,8 +54,6 @@ TEMPLATES = (
 )
 RAREST = 8
 ALIGNED = 2
-#: Licence words in more than this share of the documents are not looked up.
-COMMON = 0.2
 
 _GAP = r"\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F"
 #: Words before A-Z are put in lower case.
@@ -78,24 +76,24 @@ def _licence_words(vocabulary) -> str:
     return f"(lower(x) IN ({_quoted(vocabulary)}) AND octet_length(x) = char_length(x))"
 
 
-def frequencies(texts: DataFrame) -> tuple[dict[str, int], int]:
-    """Documents that hold each template word, over all documents; their number."""
+def frequencies(texts: DataFrame) -> dict[str, int]:
+    """Documents that hold each template word, over all documents."""
     words = F.expr(f"array_distinct(transform(filter(regexp_extract_all(text, r'{WORD}', 0), x -> {_licence_words(VOCABULARY)}), "
                    f"x -> lower(x)))")
     df = texts.select(F.explode(words).alias("w")).groupBy("w").count().collect()
-    return {r[0]: r[1] for r in df}, texts.count()
+    return {r[0]: r[1] for r in df}
 
 
 def scan(docs: DataFrame) -> DataFrame:
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score,
     and places: (label, first word, share of the notice's words found)."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    df, n = frequencies(texts)
-    rare = sorted((w for w in VOCABULARY if df.get(w, 0) <= max(1, COMMON * n)), key=lambda w: (df.get(w, 0), w))
-    rank = {w: i for i, w in enumerate(rare)} or {"": 0}
-    postings = [[(t, q) for t, words in enumerate(_words) for q, w in enumerate(words) if w == r] for r in rare] or [[]]
+    df = frequencies(texts)
+    rare = sorted(VOCABULARY, key=lambda w: (df.get(w, 0), w))
+    rank = {w: i for i, w in enumerate(rare)}
+    postings = [[(t, q) for t, words in enumerate(_words) for q, w in enumerate(words) if w == r] for r in rare]
     rank_map = "map(" + ", ".join(f"{_quoted([w])}, {i}" for w, i in rank.items()) + ")"
-    post = "array(" + ", ".join("array(" + ", ".join(f"named_struct('t', {t}, 'q', {q})" for t, q in p) + ")" for p in postings if p) + ")"
+    post = "array(" + ", ".join("array(" + ", ".join(f"named_struct('t', {t}, 'q', {q})" for t, q in p) + ")" for p in postings) + ")"
     notices = "array(" + ", ".join(
         f"named_struct('label', {_quoted([TEMPLATES[t][0]])}, 'words', array({_quoted(_words[t])}), 'at', {_key_at[t]}, "
         f"'size', {len(_keys[t])}, 'phrase', {_quoted([TEMPLATES[t][2]])})" for t in range(len(TEMPLATES))) + ")"
@@ -109,14 +107,14 @@ def scan(docs: DataFrame) -> DataFrame:
         F.expr(f"array_sort(array_distinct(transform({base}, p -> {label})))").alias("base"),
         F.expr(f"CASE WHEN size(found) > 0 THEN split(text, r'{ANY_PHRASE}', -1) END").alias("between"),
         F.expr(f"CASE WHEN size(found) > 0 THEN regexp_count(element_at(found, size(found)), r'{WORD}') END").alias("last_size"),
-        F.expr(f"size(filter(words, x -> {_licence_words(rare or [''])}))").alias("n_rare"))
+        F.expr(f"size(filter(words, x -> {_licence_words(rare)}))").alias("n_rare"))
     rows = rows.select(
         "doc_id", "words", "n_words", "n_base", "base",
         F.expr(f"CASE WHEN n_base > 0 THEN regexp_count(between[0], r'{WORD}') END").cast("long").alias("first_word"),
         F.expr(f"CASE WHEN n_base > 0 THEN n_words - last_size - regexp_count(element_at(between, size(between)), r'{WORD}') END")
         .cast("long").alias("last_word"),
         F.expr(f"CASE WHEN n_rare >= {ALIGNED} THEN filter(transform(words, (x, i) -> named_struct('r', "
-               f"IF({_licence_words(rare or [''])}, {rank_map}[lower(x)], -1), 'i', i)), h -> h.r >= 0) "
+               f"IF({_licence_words(rare)}, {rank_map}[lower(x)], -1), 'i', i)), h -> h.r >= 0) "
                f"ELSE cast(array() as array<struct<r:int,i:int>>) END").alias("hits"))
     rows = rows.withColumn("top", F.expr(f"slice(array_sort(array_distinct(transform(hits, h -> h.r))), 1, {RAREST})"))
     rows = rows.withColumn("aligned", F.expr(

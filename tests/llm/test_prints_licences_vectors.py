@@ -91,6 +91,13 @@ def test_licences(spark, awkward, no_documents):
     assert scan(awkward).count() == 13 and scan(no_documents).count() == 0
 
 
+def test_a_notice_in_every_document_keeps_its_label(spark):
+    rows = [(i, f"{text(20, i)} released under the MIT license {text(10, 100 + i)}") for i in range(30)]
+    rows += [(100 + i, f"by nd {text(10, 200 + i)}") for i in range(20)] + [(200, "CC BY-ND")]
+    got = {r.doc_id: r.labels for r in scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(got[i] == "mit,mit-notice" for i in range(30)) and got[200] == "cc-by,cc-by-nd" and got[100] == ""
+
+
 def brute_top(rows, k):
     out = {}
     clean = [(i, [int(np.floor(256 * float(x))) for x in v]) for i, v in rows
