@@ -2,11 +2,13 @@
 
 Base labels come from places where a phrase's words stand one after the other.
 The method's own labels come from templates of licence notices: the templates'
-words are counted over all documents; in each document the ``RAREST`` licence
-words with the highest IDF are looked up in the templates' postings (template,
-position); lookups that agree in the relative position (document position minus
-template position) at least ``ALIGNED`` times point to a place, where the
-template's mandatory key phrase must stand word for word.
+words are counted over all documents; each template is indexed by the ``RAREST``
+words of its mandatory key phrase with the highest IDF, whatever their share of
+the documents.  Every indexed word of a document is looked up in the postings
+(template, position); lookups that agree in the relative position (document
+position minus template position) for all of a template's indexed words point to
+a place, where the key phrase must stand word for word.  So no place of a key
+phrase is missed.
 
 Everything about a document is computed in its own row; only the document
 frequencies (one row per template word) are gathered.
@@ -52,8 +54,8 @@ TEMPLATES = (
     ("unlicense", "this is free and unencumbered software released into the public domain", "unencumbered software"),
     ("reserved", "copyright all rights reserved", "all rights reserved"),
 )
-RAREST = 8
-ALIGNED = 2
+#: Indexed places of each key phrase.
+RAREST = 2
 
 _GAP = r"\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F"
 #: Words before A-Z are put in lower case.
@@ -89,9 +91,12 @@ def scan(docs: DataFrame) -> DataFrame:
     and places: (label, first word, share of the notice's words found)."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     df = frequencies(texts)
-    rare = sorted(VOCABULARY, key=lambda w: (df.get(w, 0), w))
+    # of each template: the places of its key phrase's rarest words
+    chosen = [sorted(sorted(range(at, at + len(k)), key=lambda q: (df.get(w[q], 0), q))[:RAREST])
+              for w, k, at in zip(_words, _keys, _key_at)]
+    rare = sorted({w[q] for w, places in zip(_words, chosen) for q in places}, key=lambda w: (df.get(w, 0), w))
     rank = {w: i for i, w in enumerate(rare)}
-    postings = [[(t, q) for t, words in enumerate(_words) for q, w in enumerate(words) if w == r] for r in rare]
+    postings = [[(t, q) for t, places in enumerate(chosen) for q in places if _words[t][q] == r] for r in rare]
     rank_map = "map(" + ", ".join(f"{_quoted([w])}, {i}" for w, i in rank.items()) + ")"
     post = "array(" + ", ".join("array(" + ", ".join(f"named_struct('t', {t}, 'q', {q})" for t, q in p) + ")" for p in postings) + ")"
     notices = "array(" + ", ".join(
@@ -113,16 +118,14 @@ def scan(docs: DataFrame) -> DataFrame:
         F.expr(f"CASE WHEN n_base > 0 THEN regexp_count(between[0], r'{WORD}') END").cast("long").alias("first_word"),
         F.expr(f"CASE WHEN n_base > 0 THEN n_words - last_size - regexp_count(element_at(between, size(between)), r'{WORD}') END")
         .cast("long").alias("last_word"),
-        F.expr(f"CASE WHEN n_rare >= {ALIGNED} THEN filter(transform(words, (x, i) -> named_struct('r', "
+        F.expr(f"CASE WHEN n_rare >= {RAREST} THEN filter(transform(words, (x, i) -> named_struct('r', "
                f"IF({_licence_words(rare)}, {rank_map}[lower(x)], -1), 'i', i)), h -> h.r >= 0) "
                f"ELSE cast(array() as array<struct<r:int,i:int>>) END").alias("hits"))
-    rows = rows.withColumn("top", F.expr(f"slice(array_sort(array_distinct(transform(hits, h -> h.r))), 1, {RAREST})"))
     rows = rows.withColumn("aligned", F.expr(
-        f"array_sort(flatten(transform(filter(hits, h -> array_contains(top, h.r)), h -> "
+        f"array_sort(flatten(transform(hits, h -> "
         f"transform(element_at({post}, h.r + 1), p -> named_struct('t', p.t, 'at', h.i - p.q)))))"))
     rows = rows.withColumn("spots", F.expr(
-        f"filter(aligned, (a, i) -> i >= {ALIGNED - 1} AND get(aligned, i - {ALIGNED - 1}) = a AND "
-        f"NOT coalesce(get(aligned, i - {ALIGNED}) = a, false))"))
+        f"filter(aligned, (a, i) -> i >= {RAREST - 1} AND get(aligned, i - {RAREST - 1}) = a)"))
     # the key phrase has to stand at its place; the notice's other words count for the score
     rows = rows.withColumn("places", F.expr(
         f"transform(filter(transform(spots, s -> named_struct('at', s.at, 'n', element_at({notices}, s.t + 1))), "

@@ -98,6 +98,16 @@ def test_a_notice_in_every_document_keeps_its_label(spark):
     assert all(got[i] == "mit,mit-notice" for i in range(30)) and got[200] == "cc-by,cc-by-nd" and got[100] == ""
 
 
+def test_several_notices_and_stray_rare_words(spark):
+    bsd = ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that "
+           "the following conditions are met:")
+    notices = f"{bsd} {text(20, 1)} Released under the MIT license. {text(20, 2)} Licensed under the Apache License, Version 2.0."
+    stray = "waived mozilla neighboring charge affero unencumbered modification conditions rights fee " + text(20, 3)
+    rows = [(1, notices), (2, stray + " released under the MIT license"), (3, stray)] + [(10 + i, "mit license " + text(9, i)) for i in range(20)]
+    got = {r.doc_id: r.labels for r in scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[1] == "apache,apache-2.0,bsd,mit,mit-notice" and got[2] == "mit,mit-notice" and got[3] == ""
+
+
 def brute_top(rows, k):
     out = {}
     clean = [(i, [int(np.floor(256 * float(x))) for x in v]) for i, v in rows
