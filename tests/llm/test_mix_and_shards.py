@@ -3,7 +3,7 @@ import collections
 import itertools
 
 from barsight.llm.mixing import BLOCK_WORDS, apportion, mix, mixed_documents, with_targets
-from barsight.llm.sharding import shard
+from barsight.llm.sharding import flows, shard
 from tests.llm.conftest import text
 
 
@@ -92,6 +92,27 @@ def test_shards_are_even_and_keep_copies_together(spark):
     assert sum(len(where[text(5, 2000 + k)]) == 1 for k in range(30)) >= 27
 
 
+def test_copies_meet_where_every_row_has_one(spark):
+    rows = [(i, text(5, i // 2)) for i in range(2000)]
+    got = shard(spark.createDataFrame(rows, "doc_id long, text string"), 10).collect()
+    check_shards(got, len(rows), 10)
+    where = {r.doc_id: r.shard for r in got}
+    assert sum(where[i] != where[i + 1] for i in range(0, 2000, 2)) <= 10
+
+
+def test_flows_keep_the_room():
+    asked = {(0, 1): 5, (1, 0): 3, (1, 2): 4, (2, 0): 1, (3, 2): 9, (2, 4): 2}
+    free = [0, 0, 0, 0, 3]
+    got = flows(asked, free)
+    into, out = collections.Counter(), collections.Counter()
+    for (i, j), c in got.items():
+        assert 0 < c <= asked[i, j]
+        into[j] += c
+        out[i] += c
+    assert all(into[j] - out[j] <= free[j] for j in range(5))
+    assert got[0, 1] == 4 and got[1, 0] == 3 and got[2, 4] == 2 and got[3, 2] + got[1, 2] == 3
+
+
 def test_sharding_defined_cases(awkward, no_documents):
     got = shard(awkward).collect()
     check_shards(got, 13, 40)
