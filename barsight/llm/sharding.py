@@ -95,7 +95,8 @@ def _propagate(linked: DataFrame, shards: int, quota: list[int], size: int) -> D
     while True:
         used = dict(linked.groupBy("shard").count().collect())
         here = linked.groupBy("g", "shard").agg(F.count(F.lit(1)).alias("c"))
-        rank = F.struct("c", F.xxhash64("g", "shard", F.lit(r)).alias("tie"), "shard")
+        free = [quota[j] - used.get(j, 0) for j in range(shards)]
+        rank = F.struct("c", (_pick(free, F.col("shard")) > 0).alias("open"), F.xxhash64("g", "shard", F.lit(r)).alias("tie"), "shard")
         best = cut(here.groupBy("g").agg(F.sort_array(F.collect_list(rank), asc=False)["shard"].alias("order"))
                    .where("size(order) > 1"))
         # the parts of a large group fill the group's fullest shards one after the other
@@ -104,7 +105,7 @@ def _propagate(linked: DataFrame, shards: int, quota: list[int], size: int) -> D
                     .withColumn("want", F.when(F.array_position("order", F.col("shard")) > F.col("nth"), F.element_at("order", F.col("nth"))))
                     .drop("order", "nth"))
         sums = {(i, j): c for i, j, c in asked.where("want is not null").groupBy("shard", "want").count().collect()}
-        taken = flows(sums, [quota[j] - used.get(j, 0) for j in range(shards)])
+        taken = flows(sums, free)
         if not taken:
             return linked
         # groups come one after the other among the requests from one shard to another
