@@ -143,3 +143,10 @@ def list_column(values: np.ndarray, counts: np.ndarray, kind=None) -> pa.Array:
     """A list array of consecutive runs of ``values``."""
     offs = np.r_[0, np.cumsum(counts)].astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(offs), pa.array(values, kind))
+
+
+def ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """start[0], start[0]+1, ... for each range, one after the other."""
+    ends = np.cumsum(size)
+    total = int(ends[-1]) if len(ends) else 0
+    return np.arange(total) + np.repeat(start - (ends - size), size)
