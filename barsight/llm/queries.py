@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from barsight.llm.alignment import op12_alignment
 from barsight.llm.fingerprints import op3_fingerprints
 from barsight.llm.licenses import op6_licenses
 from barsight.llm.mixing import op7_mixing
@@ -15,6 +16,7 @@ from barsight.llm.near_dedup import op5_near_dedup
 from barsight.llm.passages import op8_passages
 from barsight.llm.pieces import op10_pieces
 from barsight.llm.quality import op1_quality
+from barsight.llm.runs import op11_periodic_runs
 from barsight.llm.sharding import op2_sharding
 from barsight.llm.toxicity import op4_toxicity
 
@@ -29,6 +31,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_passages": op8_passages,
     "op9_top_products": op9_top_products,
     "op10_pieces": op10_pieces,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_alignment": op12_alignment,
 }
 
 ORACLE: dict[str, str] = {"op9_top_products": TOP_PRODUCTS_SQL}
