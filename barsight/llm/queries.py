@@ -13,6 +13,7 @@ from barsight.llm.mixing import op7_mixing
 from barsight.llm.mtree import ORACLE as TOP_PRODUCTS_SQL
 from barsight.llm.mtree import op9_top_products
 from barsight.llm.near_dedup import op5_near_dedup
+from barsight.llm.order_join import op13_ngram_join
 from barsight.llm.passages import op8_passages
 from barsight.llm.pieces import op10_pieces
 from barsight.llm.quality import op1_quality
@@ -33,6 +34,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_pieces": op10_pieces,
     "op11_periodic_runs": op11_periodic_runs,
     "op12_alignment": op12_alignment,
+    "op13_ngram_join": op13_ngram_join,
 }
 
 ORACLE: dict[str, str] = {"op9_top_products": TOP_PRODUCTS_SQL}
