@@ -8,15 +8,12 @@ reached it, hence two sets agree in it with probability J, and the agreement is
 concentrated as for independent hashes.  Coordinates are banded; documents in
 one bucket are candidates and are confirmed on their full sets.
 
-No bucket emits all its pairs.  Documents with equal sets are one node.  Every
-bucket first compares its members with its smallest doc_id; members then in one
-component need no further check, which settles a bucket of many copies.  Of the
-buckets that still hold two components, those of at most ``SMALL`` members pair
-what is left.  Larger ones are joined to clusters, in which each member outside
-the largest component is compared with the members of other components in tiles
-of about ``TILE`` x ``TILE`` sets, unless its shingles that no other member of
-the cluster has already rule every link out.  So no pair that shares a bucket
-and could join two components stays unchecked: no cap, no lost candidate.
+No bucket emits all its pairs.  Documents with equal sets (equal sha256 of the
+whole sorted set) are one node.  Buckets become links by :mod:`settle`: each
+compares its members with its smallest doc_id, and what is then left in more than
+one component in pairs or in tiles, which return spanning forests.  So no pair
+that shares a bucket and could join two components stays unchecked: no cap, no
+lost candidate.
 
 Defined cases: null or empty text, or text of white space: empty set, linked
 with nothing.  1 to 4 words: the sequence is the one shingle.  Rows that share a
@@ -26,12 +23,15 @@ alone (component_id null, kept).  An empty table gives an empty result.
 
 from __future__ import annotations
 
+from hashlib import sha256
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barsight.llm.common import components, cut, fresh, read, small_join
+from barsight.llm.common import cut, fresh, read, small_join
+from barsight.llm.settle import settle, with_copies
 from barsight.llm.textarrays import U, list_column, mix, seeds, shingles, text_chunks, word_hashes
 
 BINS = 128
@@ -39,8 +39,6 @@ ROWS = 4
 #: A pair of similarity 0.75 shares none of the 32 bands with probability 5e-6.
 BANDS = BINS // ROWS
 THRESHOLD = 75
-#: Members up to which a bucket pairs what its pivot left; sets on a tile's side.
-SMALL, TILE = 8, 64
 
 _ROUND = seeds(2 * BINS, 51)
 _BAND = seeds(BANDS, 53)
@@ -98,163 +96,30 @@ def _sketches(batches):
         for lo, hi, data, offs in text_chunks(batch.column(1)):
             elements, sizes = distinct_sets(data, offs, hi - lo)
             keys = band_keys(sketch(elements, sizes))
-            ends = np.r_[0, np.cumsum(sizes)]
-
-            def total(x):
-                run = np.r_[U(0), np.cumsum(x)]
-                return (run[ends[1:]] - run[ends[:-1]]).view(np.int64)
-
+            ends = np.r_[0, np.cumsum(sizes)].tolist()
+            view = memoryview(elements).cast("B") if len(elements) else memoryview(b"")
+            digests = [sha256(view[8 * x:8 * y]).digest() for x, y in zip(ends[:-1], ends[1:])]
             bands = list_column(keys[sizes > 0].ravel(), np.where(sizes > 0, BANDS, 0), pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [ids.slice(lo, hi - lo), pa.array(sizes), pa.array(total(mix(elements))),
-                 pa.array(total(mix(elements ^ U(0x5851F42D4C957F2D)))), bands],
-                names=["doc_id", "n", "s1", "s2", "bands"])
-
-
-def _sets(batches):
-    for batch in batches:
-        ids = batch.column(0)
-        for lo, hi, data, offs in text_chunks(batch.column(1)):
-            elements, sizes = distinct_sets(data, offs, hi - lo)
-            yield pa.RecordBatch.from_arrays(
-                [ids.slice(lo, hi - lo), list_column(elements.view(np.int64), sizes, pa.int64())],
-                names=["doc_id", "elements"])
-
-
-def _confirm(batches):
-    """Keep pairs (a, b, left, right) whose full sets reach the threshold."""
-    for batch in batches:
-        def runs(column):
-            column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-            offs = np.asarray(column.offsets)
-            return np.asarray(column.values).view(U), offs
-
-        lv, lo = runs(batch.column(2))
-        rv, ro = runs(batch.column(3))
-        ok = np.zeros(batch.num_rows, bool)
-        for i in range(batch.num_rows):
-            x, y = lv[lo[i]:lo[i + 1]], rv[ro[i]:ro[i + 1]]
-            if 100 * min(len(x), len(y)) < THRESHOLD * max(len(x), len(y)):
-                continue
-            both = np.concatenate([x, y])
-            both.sort()
-            shared = int((both[1:] == both[:-1]).sum())
-            ok[i] = 100 * shared >= THRESHOLD * (len(both) - shared)
-        kept = batch.select([0, 1]).filter(pa.array(ok))
-        if kept.num_rows:
-            yield kept
-
-
-def confirm(texts: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The pairs (a, b) of ``pairs`` that pass on the full sets of ``texts``."""
-    ids = cut(pairs.select(F.col("a").alias("doc_id"))
-              .union(pairs.select(F.col("b").alias("doc_id"))).distinct())
-    sets = cut(small_join(texts, ids, "doc_id", "left_semi")
-               .mapInArrow(_sets, "doc_id long, elements array<long>"))
-    left = sets.select(F.col("doc_id").alias("a"), F.col("elements").alias("left"))
-    right = sets.select(F.col("doc_id").alias("b"), F.col("elements").alias("right"))
-    rows = pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right")
-    return cut(rows.mapInArrow(_confirm, "a long, b long"))
-
-
-def _tiles(batches):
-    """Links (a, b) between the two sides of each tile."""
-    for batch in batches:
-        out = []
-        for left, right in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            sides = [[np.array(x["elements"], np.int64) for x in side] for side in (left, right)]
-            n = [np.array([len(x) for x in side]) for side in sides]
-            names, index = np.unique(np.concatenate(sides[0] + sides[1]), return_inverse=True)
-            shared = np.zeros((len(left), len(right)), np.int64)
-            cuts = np.r_[0, np.cumsum(np.r_[n[0], n[1]])]
-            on = [index[cuts[i]:cuts[i + 1]] for i in range(len(left) + len(right))]
-            flag = np.zeros(len(names), bool)
-            far = np.concatenate(on[len(left):])
-            for i in range(len(left)):
-                flag[on[i]] = True
-                shared[i] = np.add.reduceat(flag[far].astype(np.int64), cuts[len(left):-1] - cuts[len(left)])
-                flag[on[i]] = False
-            union = n[0][:, None] + n[1][None, :] - shared
-            for i, j in zip(*np.nonzero(100 * shared >= THRESHOLD * union)):
-                x, y = left[i], right[j]
-                if x["component"] != y["component"]:
-                    out.append((min(x["doc_id"], y["doc_id"]), max(x["doc_id"], y["doc_id"])))
-        if out:
-            a, b = zip(*out)
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
-
-
-def _cluster_links(texts: DataFrame, members: DataFrame) -> DataFrame:
-    """Links between components inside clusters of large buckets; ``members``:
-    (bucket, doc_id, n, component)."""
-    heads = cut(members.groupBy("bucket").agg(F.min("doc_id").alias("a")))
-    clusters = components(small_join(members.select("bucket", F.col("doc_id").alias("b")), heads, "bucket").select("a", "b"))
-    docs = members.select("doc_id", "component").distinct()
-    docs = cut(small_join(docs, clusters.select(F.col("node").alias("doc_id"), F.col("component").alias("cluster")), "doc_id"))
-    sets = small_join(texts, docs.select("doc_id"), "doc_id", "left_semi").mapInArrow(_sets, "doc_id long, elements array<long>")
-    docs = cut(small_join(sets, docs, "doc_id").withColumn("n", F.size("elements")).where("n > 0"))
-    alone = (docs.select("cluster", "doc_id", F.explode("elements").alias("e")).groupBy("cluster", "e")
-             .agg(F.count(F.lit(1)).alias("df"), F.min("doc_id").alias("doc_id")).where("df = 1")
-             .groupBy("doc_id").agg(F.count(F.lit(1)).alias("alone")))
-    parts = (docs.groupBy("cluster", "component").agg(F.count(F.lit(1)).alias("size"), F.min("n").alias("n"))
-             .groupBy("cluster").agg(F.max_by("component", F.struct("size", "component")).alias("major"),
-                                     F.min("n").alias("least"), F.sum("size").alias("m"),
-                                     (F.sum("size") - F.max("size")).alias("s")))
-    docs = small_join(small_join(docs, cut(alone), "doc_id", "left"), cut(parts), "cluster")
-    # 3 (|x| + |y|) <= 7 |x and y|, and what x shares with any y is at most |x| - alone
-    could = (F.col("n") - F.coalesce("alone", F.lit(0))) * 7 >= (F.col("n") + F.greatest(F.col("least"), F.col("n") * 0.75)) * 3
-    docs = cut(docs.where(could))
-    entry = F.struct("doc_id", "component", "elements")
-    blocks = F.ceil(F.col("m") / TILE)
-    right = docs.groupBy("cluster", F.pmod(F.xxhash64("doc_id"), blocks).alias("y")).agg(F.collect_list(entry).alias("right"))
-    left = (docs.where("component <> major")
-            .groupBy("cluster", "m", F.pmod(F.xxhash64("doc_id", F.lit(3)), F.ceil(F.col("s") / TILE)).alias("x"))
-            .agg(F.collect_list(entry).alias("left"))
-            .withColumn("y", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1))))
-    tiles = left.join(right, ["cluster", "y"]).select("left", "right")
-    return cut(tiles.mapInArrow(_tiles, "a long, b long").distinct())
+                [ids.slice(lo, hi - lo), pa.array(sizes), pa.array(digests, pa.binary()), bands], names=["doc_id", "n", "digest", "bands"])
 
 
 def link_documents(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of ``docs``
     (columns doc_id, text; further columns are not looked at)."""
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    rows = cut(texts.mapInArrow(_sketches, "doc_id long, n long, s1 long, s2 long, bands array<long>"))
+    rows = cut(texts.mapInArrow(_sketches, "doc_id long, n long, digest binary, bands array<long>"))
     found = rows.where("n > 0 and doc_id is not null")
 
-    classes = cut(found.groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("last"))
+    classes = cut(found.groupBy("digest").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("last"))
                   .where("a < last").drop("last"))
-    same = cut(small_join(found.select("doc_id", "n", "s1", "s2"), classes, ["n", "s1", "s2"])
-               .where("doc_id <> a").select("a", F.col("doc_id").alias("b")))
-    reps = small_join(found.select("doc_id", "n", "bands"), same.select(F.col("b").alias("doc_id")), "doc_id", "left_anti")
-    spread = reps.select("doc_id", "n", F.explode("bands").alias("bucket"))
-    full = cut(spread.groupBy("bucket").agg(F.min(F.struct("doc_id", "n")).alias("p"), F.max("doc_id").alias("last"))
-               .where("p.doc_id < last").select("bucket", F.col("p.doc_id").alias("pivot"), F.col("p.n").alias("pn")))
-    live = cut(small_join(spread, full, "bucket").where("doc_id <> pivot"))
-    fits = F.least("pn", "n") * 100 >= F.greatest("pn", "n") * THRESHOLD
-    pairs = cut(live.where(fits).select(F.col("pivot").alias("a"), F.col("doc_id").alias("b")).distinct())
-    links = confirm(texts, pairs)
+    same = cut(small_join(found.select("doc_id", "digest"), classes, "digest").where("doc_id <> a").distinct())
+    nodes = small_join(found.select("doc_id", "n", "digest", "bands"), same.select("doc_id", "digest"), ["doc_id", "digest"], "left_anti")
+    spread = nodes.select(F.explode(F.array_distinct("bands")).alias("bucket"), "doc_id", "n")
+    joined = settle(texts, spread, distinct_sets, THRESHOLD)
+    label = with_copies(joined, same.select("doc_id", "a"), found.select("doc_id", "digest").distinct())
 
-    joined = components(links).withColumnRenamed("node", "doc_id")
-    named = cut(small_join(live.select("bucket", "doc_id", "n"), joined, "doc_id", "left")
-                .withColumn("component", F.coalesce("component", "doc_id")))
-    mixed = cut(named.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
-                                            F.count(F.lit(1)).alias("size")).where("lo < hi").select("bucket", "size"))
-    if not mixed.isEmpty():
-        left = cut(small_join(named, mixed, "bucket"))
-        few = left.where(F.col("size") <= SMALL).groupBy("bucket").agg(
-            F.sort_array(F.collect_list(F.struct("doc_id", "n", "component"))).alias("m"))
-        few = (few.select(F.posexplode("m").alias("i", "p"), "m")
-               .select("p", F.explode(F.expr("slice(m, i + 2, size(m))")).alias("q")).where("p.component <> q.component"))
-        fits = F.least("p.n", "q.n") * 100 >= F.greatest("p.n", "q.n") * THRESHOLD
-        few = few.where(fits).select(F.col("p.doc_id").alias("a"), F.col("q.doc_id").alias("b")).distinct()
-        links = links.unionByName(confirm(texts, cut(few.join(pairs, ["a", "b"], "left_anti"))))
-        many = left.where(F.col("size") > SMALL)
-        if not many.isEmpty():
-            links = links.unionByName(_cluster_links(texts, many))
-    comp = components(links.unionByName(same))
-    out = rows.select("doc_id", F.col("n").alias("n_shingles"))
-    out = small_join(out, comp.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+    out = small_join(rows.select("doc_id", F.col("n").alias("n_shingles")), label, "doc_id", "left")
     return (out.withColumn("component_id", F.coalesce("component", "doc_id")).drop("component")
             .withColumn("kept", F.coalesce(F.col("component_id") == F.col("doc_id"), F.lit(True))))
 

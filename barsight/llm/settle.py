@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barsight.llm.common import components, cut, small_join
-from barsight.llm.textarrays import U, list_column, text_chunks
+from barsight.llm.textarrays import list_column, text_chunks
 
 #: Members up to which a bucket pairs what its first comparison left.
 SMALL = 8
@@ -185,7 +185,7 @@ def _cluster_links(texts: DataFrame, members: DataFrame, sets: Sets, percent: in
 def settle(texts: DataFrame, members: DataFrame, sets: Sets, percent: int, admits: Callable | None = None) -> DataFrame:
     """(doc_id, component): the component (its smallest doc_id) of every document
     that is linked with another one; ``texts``: (doc_id, text); ``members``:
-    (bucket, doc_id, n), each document once in a bucket."""
+    (bucket, doc_id, n), each text of a document once in a bucket."""
     full = cut(members.groupBy("bucket").agg(F.min(F.struct("doc_id", "n")).alias("p"), F.max("doc_id").alias("last"))
                .where("p.doc_id < last").select("bucket", F.col("p.doc_id").alias("pivot"), F.col("p.n").alias("pn")))
     live = cut(small_join(members, full, "bucket").where("doc_id <> pivot"))
