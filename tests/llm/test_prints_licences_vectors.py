@@ -134,6 +134,20 @@ def test_search_with_ties_and_awkward_vectors(spark):
     assert search(spark, rows) == brute_top(rows, 5)
 
 
+def test_search_is_exact_for_large_components(spark):
+    rng = np.random.default_rng(16)
+    for scale in (3.0e5, 1.8e6, 1.0e12):                 # products beyond 2^53, near 2^63, far beyond a long
+        rows = [(i, [float(np.float32(x)) for x in rng.normal(size=3) * scale]) for i in range(120)] + [(200, [9.0e6, 1.0]), (201, [1.0, -scale])]
+        whole = {i: [int(np.floor(256 * x)) for x in v] + [0] * (3 - len(v)) for i, v in rows}
+        want = {}
+        for q in (0, 50, 100, 200):
+            cut = lambda s: max(-2 ** 63, min(2 ** 63 - 1, s))
+            best = sorted((-sum(x * y for x, y in zip(whole[q], v)), i) for i, v in whole.items() if i != q)[:5]
+            want |= {(q, r + 1): (i, cut(-s)) for r, (s, i) in enumerate(best)}
+        got = search(spark, rows)
+        assert got == want if scale < 1e12 else set(got) == set(want)      # beyond a long, scores are cut
+
+
 def test_search_small_and_empty(spark):
     assert search(spark, []) == {}
     assert search(spark, [(50, [1.0, 2.0])]) == {}
