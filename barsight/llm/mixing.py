@@ -160,15 +160,20 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     piece = "named_struct('lo', {0}, 'hi', {1})"
     takes = (f"filter(concat(array_repeat({piece.format('0L', 'size')}, cast(passes as int)), "
              f"array({piece.format('lo1', 'hi1')}, {piece.format('lo2', 'hi2')})), p -> p.hi > p.lo)")
-    plan = cut(plan.where("taken > 0").select("doc_id", "text_key", "size", F.expr(takes).alias("takes")).distinct())
-    ids, key, size, take = (fresh(c, docs) for c in ("mix_id", "mix_key", "mix_size", "mix_take"))
-    plan = plan.select(F.col("doc_id").alias(ids), F.col("text_key").alias(key), F.col("size").alias(size),
-                       F.explode("takes").alias(take))
+    plan = cut(plan.where("taken > 0").select("doc_id", "text_key", "size", F.expr(takes).alias("takes")))
+    ids, key, size, take, copy = (fresh(c, docs) for c in ("mix_id", "mix_key", "mix_size", "mix_take", "mix_copy"))
+    plan = plan.select(F.col("doc_id").alias(ids), F.col("text_key").alias(key), F.col("size").alias(size), "takes")
     keyed = docs.withColumn(ids, F.col("doc_id").cast("long")).withColumn(key, F.xxhash64("text"))
-    plan = cut(plan)
+    if plan.groupBy(ids, key).count().where("count > 1").isEmpty():
+        plan, keyed = plan.withColumn(copy, F.lit(1)), keyed.withColumn(copy, F.lit(1))
+    else:                                           # rows of one doc_id and text: each takes its own part
+        number = F.row_number().over(Window.partitionBy(ids, key).orderBy(key))
+        plan, keyed = plan.withColumn(copy, number), keyed.withColumn(copy, number)
+    plan = cut(plan.select(ids, key, copy, size, F.explode("takes").alias(take)))
     null_safe = keyed.alias("d").join(
         (F.broadcast(plan) if plan.limit(500_001).count() <= 500_000 else plan).alias("m"),
-        F.col(f"d.{ids}").eqNullSafe(F.col(f"m.{ids}")) & (F.col(f"d.{key}") == F.col(f"m.{key}")))
+        F.col(f"d.{ids}").eqNullSafe(F.col(f"m.{ids}")) & (F.col(f"d.{key}") == F.col(f"m.{key}"))
+        & (F.col(f"d.{copy}") == F.col(f"m.{copy}")))
     whole = (F.col(f"m.{take}.lo") == 0) & (F.col(f"m.{take}.hi") == F.col(f"m.{size}"))
     words = F.regexp_extract_all(F.col("d.text"), F.lit(WORD), F.lit(0))
     some = F.array_join(F.slice(words, (F.col(f"m.{take}.lo") + 1).cast("int"),

@@ -328,12 +328,39 @@ def decoded(rows: DataFrame, ids: str = "ids", name: str = "decoded", model: str
     return rows.mapInArrow(run, same_fields(rows, T.StructField(name, T.StringType())))
 
 
-def tokens(docs: DataFrame) -> DataFrame:
-    """``docs`` with columns n_tokens, token_ids and lossless (decodes to the text)."""
-    ids, back = fresh("token_ids", docs), fresh("decoded_text", docs)
-    rows = decoded(encoded(docs, ids=ids), ids, back)
-    return rows.select(*docs.columns, F.size(ids).alias(fresh("n_tokens", docs)), ids,
-                       F.col(back).eqNullSafe(F.col("text")).alias(fresh("lossless", docs)))
+def tokens(docs: DataFrame, dropout: float = DROPOUT, seed: int = SEED, variants: int = VARIANTS, model: str = MODEL) -> DataFrame:
+    """``docs`` with columns n_tokens, token_ids and lossless (decodes to the text).
+
+    A batch is encoded, decoded and compared in one pass, so a task needs one
+    Python worker and the decoded text does not travel."""
+    place, at = docs.columns.index("text"), docs.columns.index("doc_id")
+    bounded_batches(docs.sparkSession)
+
+    def run(batches):
+        table = pieces(model)
+        for batch in batches:
+            names = batch.column(at).cast(pa.string()).to_pylist()
+            kind = np.array([zlib.crc32(x.encode()) % variants if x is not None else 0 for x in names], np.int64)
+            null = np.asarray(batch.column(place).is_null())
+            for lo, hi, data, offs in text_chunks(batch.column(place), CHUNK):
+                got, counts = encode(table, data, offs, kind[lo:hi], dropout, seed)
+                raw, ends = decode(table, got, counts)
+                same = np.diff(ends) == np.diff(offs)
+                if same.all():
+                    unlike = np.r_[0, np.cumsum(raw != data)]
+                    same = unlike[offs[1:]] == unlike[offs[:-1]]
+                else:
+                    same = np.array([x and raw[a:b].tobytes() == data[c:d].tobytes() for x, a, b, c, d in zip(
+                        same, ends[:-1], ends[1:], offs[:-1], offs[1:])])
+                lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(counts)].astype(np.int32)),
+                                                 pa.array(got.astype(np.int32)), mask=pa.array(null[lo:hi]))
+                size = pa.array(counts.astype(np.int32), mask=null[lo:hi])
+                yield pa.RecordBatch.from_arrays([*batch.slice(lo, hi - lo).columns, size, lists, pa.array(same | null[lo:hi])],
+                                                 names=[*batch.schema.names, *more])
+
+    more = [fresh(c, docs) for c in ("n_tokens", "token_ids", "lossless")]
+    return docs.mapInArrow(run, same_fields(docs, T.StructField(more[0], T.IntegerType()), T.StructField(
+        more[1], T.ArrayType(T.IntegerType())), T.StructField(more[2], T.BooleanType())))
 
 
 def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -45,6 +45,13 @@ def test_targets_seats_and_takes(spark):
     assert held == taken and out.columns == ["doc_id", "source", "text", "n_chars"]
 
 
+def test_repeated_rows_each_take_their_own_part(spark):
+    rows = [(i, "a", text(60 + 7 * i, i)) for i in range(10) for _ in range(3)] + [(50 + i, "b", text(90, 80 + i)) for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    taken = mix(docs).agg({"taken": "sum"}).first()[0]
+    assert sum(len(r.text.split()) for r in mixed_documents(docs).collect()) == taken
+
+
 def test_seats_are_the_highest_quotients(spark):
     rows = [(False, "a", 70.0, 9), (False, "b", 21.0, 50), (False, "c", 6.0, 50), (True, "", 3.0, 50)]
     sources = spark.createDataFrame(rows, "no_source boolean, source string, target double, cap long")
