@@ -5,6 +5,8 @@ made per word.  Hashes are 64-bit, equal for equal words wherever they stand."""
 
 from __future__ import annotations
 
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 
@@ -45,6 +47,20 @@ _alnum[0x30:0x3A] = _alnum[0x41:0x5B] = _alnum[0x61:0x7B] = _alnum[0x80:] = True
 PUNCT = ~_alnum
 
 
+def give_back() -> None:
+    """Return freed memory to the system: an executor's Python workers are reused
+    by later stages, and what they keep counts against the executor."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM is not None:
+        _TRIM(0)
+
+
+try:
+    _TRIM = ctypes.CDLL(None).malloc_trim
+except (AttributeError, OSError):           # another C library
+    _TRIM = None
+
+
 def text_chunks(column, limit: int = CHUNK_BYTES):
     """(first row, end row, bytes, offsets) of consecutive rows of a string
     column, about ``limit`` bytes each; a null counts as empty."""
@@ -65,6 +81,8 @@ def text_chunks(column, limit: int = CHUNK_BYTES):
         hi = max(lo + 1, int(np.searchsorted(offs, offs[lo] + limit, "right")) - 1)
         yield lo, hi, data[offs[lo]:offs[hi]], offs[lo:hi + 1] - offs[lo]
         lo = hi
+    if len(data) > 1 << 18:
+        give_back()
 
 
 def prefix_hash(data: np.ndarray) -> np.ndarray:

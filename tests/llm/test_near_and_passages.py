@@ -137,6 +137,33 @@ def test_near_passages_with_words_put_in_and_left_out(spark):
     assert got[5, 4].start_word == 20 and got[5, 4].end_word >= 429 and 0.75 <= got[5, 4].similarity < 0.85
 
 
+def test_word_for_word_holders_behind_variants_are_found(spark):
+    base, rng = words(60, 31), np.random.default_rng(6)
+    rows = [(i, edited(base, [5 + i % 3, 20 + i, 47 - i % 4], 300 + i) + " " + text(40, 400 + i)) for i in range(10)]
+    rows += [(50, text(30, 32) + " " + " ".join(base)), (60, " ".join(base) + " " + text(35, 33))]
+    rows += [(100 + i, text(120, 600 + i)) for i in range(10)]
+    got = {(r.doc_id, r.source_id) for r in repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert (60, 50) in got and not any(i >= 100 for i, _ in got)
+
+
+def test_every_text_of_a_doc_id_takes_part_and_keeps_what_is_its_own(spark):
+    shared = " ".join(words(80, 41))
+    rows = [(1, text(200, 42)), (1, shared + " " + text(30, 43)), (2, text(40, 44) + " " + shared), (3, text(200, 45))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [(r.doc_id, r.end_word - r.start_word, r.source_id) for r in repeated_passages(docs).collect()]
+    assert got in ([(1, 80, 2)], [(2, 80, 1)])
+    left = sorted((r.doc_id, len(r.text.split())) for r in without_repeats(docs).collect())
+    assert left in ([(1, 30), (1, 200), (2, 120), (3, 200)], [(1, 110), (1, 200), (2, 40), (3, 200)])
+
+
+def test_windows_of_more_places_than_packed_bits(monkeypatch):
+    from barsight.llm import passages
+    monkeypatch.setattr(passages, "_POS", 8)
+    v = np.random.default_rng(8).integers(0, 2 ** 63, 5000).astype(np.uint64)
+    left, mid, right = compact_windows(v, np.array([0]), np.array([5000]), 46)
+    assert mid[0] == int(np.argmin(v)) and (left <= mid).all() and (mid <= right).all()
+
+
 def test_passages_defined_cases(awkward, no_documents):
     got = {(r.doc_id, r.start_word, r.end_word, r.source_id) for r in repeated_passages(awkward).collect()}
     assert got == {(2, 0, 120, 1), (9, 0, 60, 1)} and WORDS == 50
