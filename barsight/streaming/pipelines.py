@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from barsight.operators.history import distinct_requests, pruned_bars
 from barsight.plans.scoring import service_rows
 from barsight.sources.messages import decode_messages, load_counts, split_valid
 
@@ -37,14 +38,15 @@ def start_feature_stream(spark: SparkSession, prices: DataFrame, requests_dir: s
     """Request files -> validate (P9) -> as-of history (S2) -> features by
     (ticker, target_date) (I31) -> last row (P14) -> JSON rows (K5).
 
-    The per-request warehouse query of the reference becomes one join per
-    micro-batch; invalid requests, also ones whose date is none, are dropped
+    The per-request warehouse query of the reference becomes one plan per
+    micro-batch, over the bars of the tickers and up to the newest date that the
+    batch asks for; invalid requests, also ones whose date is none, are dropped
     (acknowledged).  Missing values are written as JSON nulls."""
     stream = _reader(spark, requests_dir, REQUEST_SCHEMA, max_files_per_trigger)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         reqs = batch.select("ticker", F.col("date").try_cast("date").alias("date"))
-        rows = service_rows(prices, reqs, limit, min_bars)
+        rows = service_rows(pruned_bars(prices, distinct_requests(reqs)), reqs, limit, min_bars)
         rows.select(F.to_json(F.struct(*rows.columns), {"ignoreNullFields": "false"}).alias("value")) \
             .write.mode("overwrite").text(f"{out_dir}/batch={batch_id}")
 

@@ -39,8 +39,8 @@ def test_service_rows_equal_batch_on_same_slice(spark):
 
 
 def test_incremental_stream_equals_batch(spark):
-    from barsight.registry.rows_only import q_incremental_indicators
-    inc = {(r["ticker"], r["date"]): r for r in q_incremental_indicators(spark, SF001).collect()}
+    from barsight.registry.rows_only import incremental_rows
+    inc = {(r["ticker"], r["date"]): r for r in incremental_rows(spark, SF001).collect()}
     batch = feature_set(scan_prices(FX.weekly_bars(spark, SF001))).collect()
     assert len(inc) == len(batch)
     for r in batch:
