@@ -6,7 +6,7 @@ SF = "/root/testdata/sf0.001"
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 11))
+    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 14))
     assert set(ORACLE) <= set(QUERIES)
     assert len(corpus_pipeline.STAGES) == 5
 
