@@ -73,39 +73,15 @@ def _div(a, b):
     return F.try_divide(a, b)
 
 
-def feature_set(prices: DataFrame, by: list[str] | tuple = ("ticker",), t: str = "date",
-                block: int = BLOCK, keep: list[str] | None = None) -> DataFrame:
-    """The 32 model features for every bar, plus ``rn`` (bar number),
-    ``n_bars`` (series length, A8), ``next_close`` (W3) and ``atrr_3``.
-
-    ``prices`` needs ``by``, ``t``, open, high, low, close, volume.  ``by`` may
-    be any series key, e.g. ``["ticker", "target_date"]`` for as-of histories.
-
-    Plan: one hash exchange on ``by``; one sort for the bar numbers and one on
-    ``(by, _blk, rn)`` shared by every later window.  Window passes, in order:
-    A ordered (lags, lead, pads, series length) -> B ordered (short rolling
-    frames, running counts for the seeds) -> C1 in-block (level-1 scans,
-    running sums for the means) -> C2 block-back (carries, previous-block
-    totals) -> E ordered (lagged running sums, MACD-signal seed, %K/%D) -> F1
-    in-block / F2 block-back (level-2 scans).
-    """
-    by = list(by)
-    keep = list(keep or [])
-    relax_constraint_inference(prices.sparkSession)
-    base = prices.select(*by, t, "open", "high", "low", "close", "volume", *keep)
-    df = number_rows(base, by, t, block)
+def differences(by: list[str]) -> list:
+    """Stage A: first differences and other lag-based inputs, and the next close."""
     C, H, L, V = (F.col(x) for x in ("close", "high", "low", "volume"))
     C1 = lag(C, by)
-
-    # -- A (ordered): first differences and other lag-based inputs
     d = C - C1
     up = H - lag(H, by)
     dn = lag(L, by) - L
-    whole = ordered(by).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    df = df.select(
-        "*",
+    return [
         F.lead(C, 1).over(ordered(by)).alias("next_close"),
-        F.count(F.lit(1)).over(whole).alias("n_bars"),
         F.greatest(H - L, F.abs(H - C1), F.abs(L - C1)).alias("_tr"),
         F.when(d.isNotNull(), F.greatest(d, F.lit(0.0))).alias("_gain"),
         F.when(d.isNotNull(), F.greatest(-d, F.lit(0.0))).alias("_loss"),
@@ -118,48 +94,56 @@ def feature_set(prices: DataFrame, by: list[str] | tuple = ("ticker",), t: str =
         _div(F.lit(100.0) * (C - C1), C1).alias("roc_1"),
         _div(F.lit(100.0) * (C - lag(C, by, 3)), lag(C, by, 3)).alias("roc_3"),
         _div(F.lit(100.0) * (C - lag(C, by, 5)), lag(C, by, 5)).alias("roc_5"),
-    )
+    ]
+
+
+def level_one(by: list[str], own=None, before: dict | None = None) -> tuple[list, list]:
+    """Stage B: short rolling frames, running counts of the seeds, and the inputs
+    (name, b, r) of the level-1 scans.
+
+    Where ``by`` names a segment of a series, ``own`` marks the rows that count
+    and ``before`` holds what precedes the segment: counts ``n_*``, sums ``s_*``."""
+    C, H, L = (F.col(x) for x in ("close", "high", "low"))
+    before = before or {}
+
+    def mine(name):
+        return F.col(name) if own is None else F.when(own, F.col(name))
+
+    def since(running, name):
+        return running + before[name] if name in before else running
 
-    # -- B (ordered): short rolling frames and the running counts of the seeds
-    tr = F.col("_tr")
     stage_b = [
         full_window(F.stddev_pop, C, by, 20).alias("_sd20"),
         full_window(F.min, L, by, 14).alias("_ll14"),
         full_window(F.max, H, by, 14).alias("_hh14"),
-        cumsum(F.col("_sv"), by).alias("obv"),
+        since(cumsum(mine("_sv"), by), "s_sv").alias("obv"),
         F.try_subtract(_div(F.col("_vpad"), F.lag("_vpad", 1).over(ordered(by))),
                        F.lit(1.0)).alias("volume_delta"),
     ]
     scans = []
     for name, n in _EMA.items():
-        b, ok = seeded_average_terms(C, by, n, 2.0 / (n + 1))
+        b, ok = seeded_average_terms(mine("close"), by, n, 2.0 / (n + 1), before.get("n_close"), before.get("s_close"))
         stage_b += [b.alias(f"_b_{name}"), ok.alias(f"_ok_{name}")]
         scans.append((name, F.col(f"_b_{name}"), 1.0 - 2.0 / (n + 1)))
     for name, n in _ATR.items():
-        b, ok = seeded_average_terms(tr, by, n, 1.0 / n)
+        b, ok = seeded_average_terms(mine("_tr"), by, n, 1.0 / n, before.get("n_tr"), before.get("s_tr"))
         stage_b += [b.alias(f"_b_{name}"), ok.alias(f"_ok_{name}")]
         scans.append((name, F.col(f"_b_{name}"), 1.0 - 1.0 / n))
-    gain_n, _, gain_seen = wilder_terms(F.col("_gain"), by)
-    loss_n, _, _ = wilder_terms(F.col("_loss"), by)
-    stage_b.append(gain_seen.alias("_diff_seen"))
+    gain_n, _, gain_seen = wilder_terms(mine("_gain"), by)
+    loss_n, _, _ = wilder_terms(mine("_loss"), by)
+    stage_b.append(since(gain_seen, "n_gain").alias("_diff_seen"))
     for name, n in _RSI.items():
         scans += [(f"_g_{name}", gain_n, 1.0 - 1.0 / n), (f"_l_{name}", loss_n, 1.0 - 1.0 / n)]
-    pdm_n, _, dm_seen = wilder_terms(F.col("_pdm"), by)
-    ndm_n, _, _ = wilder_terms(F.col("_ndm"), by)
-    stage_b.append(dm_seen.alias("_dm_seen"))
+    pdm_n, _, dm_seen = wilder_terms(mine("_pdm"), by)
+    ndm_n, _, _ = wilder_terms(mine("_ndm"), by)
+    stage_b.append(since(dm_seen, "n_pdm").alias("_dm_seen"))
     scans += [("_pdm_w", pdm_n, 1.0 - 1.0 / ADX_LEN), ("_ndm_w", ndm_n, 1.0 - 1.0 / ADX_LEN)]
-    df = df.select("*", *stage_b)
+    return stage_b, scans
 
-    # -- C1 (in-block): level-1 scans and running sums for the rolling means
-    df = df.select("*", *scan_inputs(scans, by), *block_running(C, by, "c"),
-                   *block_running(V, by, "v"))
-    # -- C2 (block-back): carries and previous-block totals
-    df = df.select("*", *scan_carries(scans, by, block), *block_previous_totals("c", by, block),
-                   *block_previous_totals("v", by, block))
-    level1, helpers = scan_results(scans, block)
-    df = df.select("*", *level1).drop(*helpers)
 
-    # -- D: values derived from level 1
+def derive(df: DataFrame) -> DataFrame:
+    """Stage D: what follows row by row from the level-1 scans."""
+    C = F.col("close")
     for name in list(_EMA) + list(_ATR):
         df = df.withColumn(name, F.when(F.col(f"_ok_{name}"), F.col(name)))
     rsi = [F.when(F.col("_diff_seen") >= n, _div(F.lit(100.0) * F.col(f"_g_{name}"),
@@ -171,40 +155,43 @@ def feature_set(prices: DataFrame, by: list[str] | tuple = ("ticker",), t: str =
                 _div(F.lit(100.0) * F.abs(pw - nw), pw + nw))
     raw_k = F.when(F.col("_ll14").isNotNull() & F.col("_hh14").isNotNull(),
                    _div(F.lit(100.0) * (C - F.col("_ll14")), F.col("_hh14") - F.col("_ll14")))
-    df = df.select("*", *rsi, (F.col("_ema_12") - F.col("_ema_26")).alias("macd_12_26_9"),
+    return df.select("*", *rsi, (F.col("_ema_12") - F.col("_ema_26")).alias("macd_12_26_9"),
                    dx.alias("_dx"), raw_k.alias("_rawk"))
 
-    # -- E (ordered): lagged running sums, MACD-signal seed, ADX inputs, %K and %D
-    macd = F.col("macd_12_26_9")
-    sb, sok = seeded_average_terms(macd, by, SIGNAL_LEN, 2.0 / (SIGNAL_LEN + 1))
-    dxn, dxd, dx_seen = wilder_terms(F.col("_dx"), by)
+
+def level_two(by: list[str], own=None, before: dict | None = None) -> tuple[list, list]:
+    """Stage E: inputs of the MACD signal and the ADX, %K and %D; and the level-2
+    scans.  ``own`` and ``before`` as in :func:`level_one`."""
+    before = before or {}
+
+    def mine(name):
+        return F.col(name) if own is None else F.when(own, F.col(name))
+
+    sb, sok = seeded_average_terms(mine("macd_12_26_9"), by, SIGNAL_LEN, 2.0 / (SIGNAL_LEN + 1),
+                                   before.get("n_macd"), before.get("s_macd"))
+    dxn, dxd, dx_seen = wilder_terms(mine("_dx"), by)
+    if "n_dx" in before:
+        dx_seen = dx_seen + before["n_dx"]
     rk = [F.lag("_rawk", i).over(ordered(by)) for i in range(5)]  # rk[i] = %K raw i bars back
     stochd = F.when(rk[0].isNotNull() & rk[1].isNotNull() & rk[2].isNotNull() & rk[3].isNotNull()
                     & rk[4].isNotNull(),
                     (rk[4] + F.lit(2.0) * rk[3] + F.lit(3.0) * rk[2] + F.lit(2.0) * rk[1] + rk[0])
                     / F.lit(9.0))
-    lags = []
-    for n in _SMA:  # windows longer than a block fall back to a direct frame
-        lags += block_lags("c", by, n) if n <= block else [sma(C, by, n).alias(f"_sma_direct_{n}")]
-    lags += block_lags("v", by, 20) if 20 <= block else [sma(V, by, 20).alias("_sma_direct_v20")]
-    df = df.select("*", sb.alias("_b_sig"), sok.alias("_ok_sig"), dx_seen.alias("_dx_seen"),
-                   sma(F.col("_rawk"), by, 3).alias("stochk_14_3_3"), stochd.alias("stochd_14_3_3"),
-                   *lags)
+    columns = [sb.alias("_b_sig"), sok.alias("_ok_sig"), dx_seen.alias("_dx_seen"),
+               sma(F.col("_rawk"), by, 3).alias("stochk_14_3_3"), stochd.alias("stochd_14_3_3")]
+    scans = [("_sig", F.col("_b_sig"), 1.0 - 2.0 / (SIGNAL_LEN + 1)),
+             ("_dxn", dxn, 1.0 - 1.0 / ADX_LEN), ("_dxd", dxd, 1.0 - 1.0 / ADX_LEN)]
+    return columns, scans
 
-    # -- F1/F2: level-2 scans (MACD signal, ADX numerator and denominator)
-    level2 = [("_sig", F.col("_b_sig"), 1.0 - 2.0 / (SIGNAL_LEN + 1)),
-              ("_dxn", dxn, 1.0 - 1.0 / ADX_LEN), ("_dxd", dxd, 1.0 - 1.0 / ADX_LEN)]
-    df = decayed_sums(df, level2, by, block)
 
-    # -- final projection
-    smas = {n: F.when(window_total("c", n, "cc") == n, window_total("c", n) / F.lit(float(n)))
-            if n <= block else F.col(f"_sma_direct_{n}") for n in _SMA}
-    vsma20 = (F.when(window_total("v", 20, "cc") == 20, window_total("v", 20) / F.lit(20.0))
-              if 20 <= block else F.col("_sma_direct_v20"))
+def projection(by: list[str], t: str, keep: list[str], smas: dict, vsma20) -> list:
+    """The columns of :func:`feature_set`, from all stages and the rolling means."""
+    C, H, L, V = (F.col(x) for x in ("close", "high", "low", "volume"))
+    macd = F.col("macd_12_26_9")
     signal = F.when(F.col("_ok_sig"), F.col("_sig"))
     sma20, sd20 = smas[20], F.col("_sd20")
     bbl, bbu = sma20 - F.lit(2.0) * sd20, sma20 + F.lit(2.0) * sd20
-    out = [
+    return [
         *[F.col(x) for x in by], F.col(t), "rn", "n_bars", "open", "high", "low", "close", "volume",
         "next_close", *keep,
         smas[10].alias("sma_10"), sma20.alias("sma_20"), smas[50].alias("sma_50"),
@@ -224,4 +211,65 @@ def feature_set(prices: DataFrame, by: list[str] | tuple = ("ticker",), t: str =
         F.when(H == L, F.lit(0.5)).otherwise(_div(C - L, H - L)).alias("close_loc"),
         "atrr_3",
     ]
-    return df.select(*out)
+
+
+def feature_set(prices: DataFrame, by: list[str] | tuple = ("ticker",), t: str = "date",
+                block: int = BLOCK, keep: list[str] | None = None) -> DataFrame:
+    """The 32 model features for every bar, plus ``rn`` (bar number),
+    ``n_bars`` (series length, A8), ``next_close`` (W3) and ``atrr_3``.
+
+    ``prices`` needs ``by``, ``t``, open, high, low, close, volume.  ``by`` may
+    be any series key, e.g. ``["ticker", "target_date"]`` for as-of histories.
+
+    Plan: one hash exchange on ``by``; one sort for the bar numbers and one on
+    ``(by, _blk, rn)`` shared by every later window.  Window passes, in order:
+    A ordered (lags, lead, pads, series length) -> B ordered (short rolling
+    frames, running counts for the seeds) -> C1 in-block (level-1 scans,
+    running sums for the means) -> C2 block-back (carries, previous-block
+    totals) -> E ordered (lagged running sums, MACD-signal seed, %K/%D) -> F1
+    in-block / F2 block-back (level-2 scans).
+    """
+    by = list(by)
+    keep = list(keep or [])
+    relax_constraint_inference(prices.sparkSession)
+    base = prices.select(*by, t, "open", "high", "low", "close", "volume", *keep)
+    df = number_rows(base, by, t, block)
+    C, V = F.col("close"), F.col("volume")
+
+    # -- A (ordered)
+    whole = ordered(by).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    df = df.select("*", F.count(F.lit(1)).over(whole).alias("n_bars"), *differences(by))
+
+    # -- B (ordered)
+    stage_b, scans = level_one(by)
+    df = df.select("*", *stage_b)
+
+    # -- C1 (in-block): level-1 scans and running sums for the rolling means
+    df = df.select("*", *scan_inputs(scans, by), *block_running(C, by, "c"),
+                   *block_running(V, by, "v"))
+    # -- C2 (block-back): carries and previous-block totals
+    df = df.select("*", *scan_carries(scans, by, block), *block_previous_totals("c", by, block),
+                   *block_previous_totals("v", by, block))
+    level1, helpers = scan_results(scans, block)
+    df = df.select("*", *level1).drop(*helpers)
+
+    # -- D: values derived from level 1
+    df = derive(df)
+
+    # -- E (ordered): lagged running sums and the inputs of level 2
+    stage_e, level2 = level_two(by)
+    lags = []
+    for n in _SMA:  # windows longer than a block fall back to a direct frame
+        lags += block_lags("c", by, n) if n <= block else [sma(C, by, n).alias(f"_sma_direct_{n}")]
+    lags += block_lags("v", by, 20) if 20 <= block else [sma(V, by, 20).alias("_sma_direct_v20")]
+    df = df.select("*", *stage_e, *lags)
+
+    # -- F1/F2: level-2 scans (MACD signal, ADX numerator and denominator)
+    df = decayed_sums(df, level2, by, block)
+
+    # -- final projection
+    smas = {n: F.when(window_total("c", n, "cc") == n, window_total("c", n) / F.lit(float(n)))
+            if n <= block else F.col(f"_sma_direct_{n}") for n in _SMA}
+    vsma20 = (F.when(window_total("v", 20, "cc") == 20, window_total("v", 20) / F.lit(20.0))
+              if 20 <= block else F.col("_sma_direct_v20"))
+    return df.select(*projection(by, t, keep, smas, vsma20))

@@ -223,16 +223,20 @@ def rolling_means(df: DataFrame, specs: list[tuple[str, Column, int]], by: list[
     return df.select("*", *out).drop(*drop)
 
 
-def seeded_average_terms(x: Column, by: list[str], length: int, alpha: float) -> tuple[Column, Column]:
+def seeded_average_terms(x: Column, by: list[str], length: int, alpha: float,
+                         seen_before: Column | None = None, sum_before: Column | None = None) -> tuple[Column, Column]:
     """Input ``b`` and validity for a seeded exponential average.
 
     Contract: NULL until ``length`` non-null inputs have been seen; at that row
     the value is their mean; afterwards ``y = alpha*x + (1-alpha)*y_prev``.
+    ``seen_before`` and ``sum_before``: count and sum of the non-null inputs that
+    precede the rows of ``by``, where these are one segment of a series.
     Returns ``(b, valid)`` for :func:`decayed_sums` with ``r = 1 - alpha``."""
     cw = cumulative(by)
-    seen = F.count(x).over(cw)
-    seed = F.sum(x).over(cw) / F.lit(float(length))
-    b = (F.when((seen == length) & x.isNotNull(), seed)
+    seen, total = F.count(x).over(cw), F.sum(x).over(cw)
+    if seen_before is not None:
+        seen, total = seen + seen_before, total + sum_before
+    b = (F.when((seen == length) & x.isNotNull(), total / F.lit(float(length)))
          .when(seen > length, F.lit(alpha) * x)
          .otherwise(F.lit(0.0)))
     return b, seen >= length
