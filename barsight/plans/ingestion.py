@@ -65,9 +65,9 @@ def merge_tables(spark, final_root: str, staging_root: str, truncate_staging: bo
 
 
 def discover(features: DataFrame, listing: DataFrame, base_uri: str,
-             suffix: str = ".txt") -> tuple[DataFrame, DataFrame]:
+             suffix: str = ".txt", key_cols: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
     """Discovery (S3 -> S4 -> J2 -> P12 -> P13): (work items, unparsable keys)."""
-    items = work_items(missing_work(listing, existing_keys(features), suffix), base_uri)
+    items = work_items(missing_work(listing, existing_keys(features, key_cols), suffix), base_uri)
     return items.where("ok").drop("ok"), items.where(~F.col("ok")).select("key", "summary_path")
 
 

@@ -66,6 +66,14 @@ def test_listing_from_files(spark, tmp_path):
         (tmp_path / name).write_text("summary")
     (tmp_path / "sub").mkdir()
     (tmp_path / "sub" / "D_2024-06-30.txt").write_text("summary")
-    (tmp_path / "E_2024-06-30.txt").write_text("")  # zero-length: skipped by Spark's file index
-    names = sorted(r["path"].rsplit("/", 1)[-1] for r in list_objects(spark, str(tmp_path)).collect())
-    assert names == ["A_2024-03-31.txt", "B_2024-06-30.txt", "D_2024-06-30.txt"]
+    (tmp_path / "E_2024-06-30.txt").write_text("")
+    (tmp_path / "sub" / "deep").mkdir()
+    (tmp_path / "sub" / "deep" / "F_2024-06-30.txt").write_text("")
+    (tmp_path / "none").mkdir()
+    rows = list_objects(spark, str(tmp_path), tasks=2)
+    got = sorted((r["path"].rsplit("/", 1)[-1], r["size"]) for r in rows.collect())
+    assert got == [("A_2024-03-31.txt", 7), ("B_2024-06-30.txt", 7), ("D_2024-06-30.txt", 7),
+                   ("E_2024-06-30.txt", 0), ("F_2024-06-30.txt", 0)]
+    existing = spark.createDataFrame([("A_2024-03-31",)], "key string")
+    assert sorted(r["key"] for r in missing_work(rows, existing).collect()) == ["B_2024-06-30", "D_2024-06-30", "E_2024-06-30", "F_2024-06-30"]
+    assert list_objects(spark, str(tmp_path / "none")).count() == 0
