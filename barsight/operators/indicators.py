@@ -60,15 +60,6 @@ ADX_LEN = 14
 SIGNAL_LEN = 9
 
 
-def relax_constraint_inference(spark) -> None:
-    """The feature plan carries ~100 aliased columns through a dozen window
-    stages; with the 32-column completeness filter on top, Catalyst's
-    constraint inference grows combinatorially and can stall planning for
-    minutes.  The plan gains nothing from it (no joins to push inferred
-    filters into), so it is switched off for the session."""
-    spark.conf.set("spark.sql.constraintPropagation.enabled", "false")
-
-
 def _div(a, b):
     return F.try_divide(a, b)
 
@@ -228,10 +219,12 @@ def feature_set(prices: DataFrame, by: list[str] | tuple = ("ticker",), t: str =
     running sums for the means) -> C2 block-back (carries, previous-block
     totals) -> E ordered (lagged running sums, MACD-signal seed, %K/%D) -> F1
     in-block / F2 block-back (level-2 scans).
+
+    Filters above this plan are best planned with the settings of
+    :func:`barsight.session.prepare`; the plan itself changes no setting.
     """
     by = list(by)
     keep = list(keep or [])
-    relax_constraint_inference(prices.sparkSession)
     base = prices.select(*by, t, "open", "high", "low", "close", "volume", *keep)
     df = number_rows(base, by, t, block)
     C, V = F.col("close"), F.col("volume")

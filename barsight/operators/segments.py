@@ -25,7 +25,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from barsight.operators.indicators import _SMA, derive, differences, level_one, level_two, projection, relax_constraint_inference
+from barsight.operators.indicators import _SMA, derive, differences, level_one, level_two, projection
 from barsight.operators.series import _fold, block_lags, cumulative, window_total
 from barsight.session import ensure_checkpoint_dir
 
@@ -118,7 +118,6 @@ def long_feature_set(prices: DataFrame, by: list[str] | tuple = ("ticker",), t:
     by, keep = list(by), list(keep or [])
     if segment < HALO:
         raise ValueError(f"a segment must hold the halo of {HALO} bars")
-    relax_constraint_inference(prices.sparkSession)
     bars = prices.select(*by, t, "open", "high", "low", "close", "volume", *keep)
     df = split_series(number_long_series(bars, by, t, partitions), segment)
     part, own = ["_key", "_seg"], F.col("_own")

@@ -11,7 +11,14 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
+# With some hundred aliased columns under a completeness filter over 32 of them,
+# Catalyst's constraint inference grows combinatorially and can stall planning for
+# minutes; the feature plans have no join that it would serve.  No operator sets
+# this: it is for whoever owns the session to choose.
+PLANNER_CONF = {"spark.sql.constraintPropagation.enabled": "false"}
+
 DEFAULT_CONF = {
+    **PLANNER_CONF,
     "spark.ui.enabled": "false",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -37,6 +44,13 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return spark
 
 
+def prepare(spark: SparkSession) -> SparkSession:
+    """Set on a session of the caller's own what the feature plans are best planned with."""
+    for k, v in PLANNER_CONF.items():
+        spark.conf.set(k, v)
+    return spark
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 

@@ -12,6 +12,7 @@ SF001 = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark():
     from pyspark.sql import SparkSession
+    from barsight.session import prepare
     ckpt = tempfile.mkdtemp(prefix="barsight-test-ckpt-")
     s = (SparkSession.builder.master("local[4]").appName("barsight-tests")
          .config("spark.sql.shuffle.partitions", "8")
@@ -21,5 +22,6 @@ def spark():
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
     s.sparkContext.setCheckpointDir(ckpt)
+    prepare(s)
     yield s
     s.stop()

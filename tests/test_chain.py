@@ -1,6 +1,7 @@
 """Partitioned MERGE and backfill, the ledger of batches, and the whole chain."""
 import datetime as dt
 import os
+import re
 import uuid
 
 import pytest
@@ -67,7 +68,8 @@ def test_reading_some_partitions_lists_no_others(spark, table):
     root, _ = table
     some = partitioned.read(spark, root, SCHEMA, "quarter_end_date", [quarter(3)])
     assert some.count() == 6 and len(some.inputFiles()) > 0
-    assert "PartitionFilters: [isnotnull(quarter_end_date" in some._jdf.queryExecution().executedPlan().toString()
+    plan = some._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*quarter_end_date", plan)
 
 
 def test_rows_without_a_partition_value_are_kept_together(spark, tmp_path):

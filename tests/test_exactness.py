@@ -74,3 +74,10 @@ def test_merge_of_tables_reports_counts(spark, tmp_path):
     assert again["staging_truncated"] and versioned.read_current(spark, staging).count() == 0
     assert rows.exceptAll(versioned.read_current(spark, final)).count() == 0
     assert merge_tables(spark, final, staging, **kwargs)["status"] == "empty_staging"
+
+
+def test_a_feature_plan_changes_no_setting(spark):
+    fresh = spark.newSession()
+    before = fresh.conf.getAll
+    assert feature_set(fresh.createDataFrame(frame(spark, make_bars(60)).collect(), frame(spark, []).schema)).count() == 60
+    assert fresh.conf.getAll == before
