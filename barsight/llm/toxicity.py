@@ -3,30 +3,39 @@
 Features are the presence of hashed words and word beginnings (4, 5 and 6
 bytes), A-Z in lower case.  A logistic model with an L1 penalty is fitted to at
 most ``SAMPLE`` labelled documents of each class (intercept set back to the
-classes' shares among all labelled rows).  For each identity term, the labelled
-sentences that hold it, and as many neutral slots as ``SLOTS``, are rewritten
-with each other term and with none; the squared change of the score's logit is
-penalised, so naming a group moves no score by itself.
+classes' shares among all labelled rows).  Sentences of these documents that
+name a group are rewritten, with the term swapped for another one and with the
+term left out (at most ``SENTENCES`` sentences of a document, the smallest by
+hash); in a document that names none, one sentence takes a term at its end.  The
+squared change of the score between a sentence and its rewriting is penalised
+and charged to the features in which the two differ (not to the words around
+them, which could make a change small by a low score of the sentence), so naming
+a group moves no score by itself.
 
 All documents are scored in Arrow batches with the fitted weights (2 MB).
 
-Defined cases: a null or empty text has no feature and scores the intercept;
-without labels of both classes every score is the share of toxic labels (0 if
-there are none); a null doc_id is scored, not held out; repeated rows are
-scored each; an empty table gives an empty result.
+Defined cases: a null or empty text has no feature and scores the intercept, and
+gives no sentence; a sentence of more than ``STRETCH`` words is taken in
+stretches; without labels of both classes every score is the share of toxic
+labels (0 if there are none); a null doc_id is scored, not held out; repeated
+rows are scored each; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import re
+from zlib import crc32
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barsight.llm.common import fresh, held_out, read, same_fields
 from barsight.llm.labelled import training_sample
-from barsight.llm.textarrays import LOWER, PUNCT, U, find_words, mix, prefix_hash, seeds, span_hash, text_chunks
+from barsight.llm.textarrays import LOWER, PUNCT, U, find_words, list_column, mix, prefix_hash, seeds, span_hash, text_chunks
 
 SAMPLE = {1: 4000, 0: 8000}
 BITS = 18
@@ -34,8 +43,9 @@ STARTS = (4, 5, 6)
 L1 = 2e-5
 STEPS = 200
 LIFT = 2.0
-SLOTS = 50
-COUNTERFACTUAL = 1.0
+SENTENCES = 4
+STRETCH = 64
+COUNTERFACTUAL = 100.0
 THRESHOLD = 0.5
 # Terms naming groups of people, each exchangeable for the others.
 IDENTITY = (
@@ -62,17 +72,52 @@ def features(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return (np.concatenate(found) >> U(64 - BITS)).astype(np.int64), np.concatenate(where)
 
 
+_TERM = re.compile(r"(?<!\w)(?:" + "|".join(sorted(IDENTITY, key=len, reverse=True)) + r")(?!\w)", re.IGNORECASE)
+_PLACE = {term: i for i, term in enumerate(IDENTITY)}
+
+
+def rewrites(text: str) -> list[tuple[str, str]]:
+    """(sentence, rewritten sentence) pairs of a text."""
+    parts = []
+    for sentence in re.findall(r"[^.!?\n]+", text):
+        words = sentence.split()
+        parts += [(" ".join(words[i:i + STRETCH])) for i in range(0, len(words), STRETCH)]
+    ranked = [(crc32(s.encode()), s) for s in parts]
+    named = sorted(x for x in ranked if _TERM.search(x[1]))[:SENTENCES]
+    out = []
+    for draw, s in named:
+        step = 1 + draw % (len(IDENTITY) - 1)
+        out.append((s, _TERM.sub(lambda m: IDENTITY[(_PLACE.get(m.group().lower(), 0) + step) % len(IDENTITY)], s)))
+        out.append((s, _TERM.sub("", s)))
+    if not named and ranked:
+        draw, s = min(ranked)
+        out.append((s, f"{s} {IDENTITY[draw % len(IDENTITY)]}"))
+    return out
+
+
+def _feature_lists(column):
+    """(first row, end row, distinct features of each row) for chunks of a string column."""
+    for lo, hi, data, offs in text_chunks(column):
+        found, text = features(data, offs)
+        both = np.unique((text << BITS) | found)
+        counts = np.bincount(both >> BITS, minlength=hi - lo)
+        yield lo, hi, list_column((both & ((1 << BITS) - 1)).astype(np.int32), counts, pa.int32())
+
+
 def _training_rows(batches):
+    """A row for each document (``swapped`` null) and for each rewritten sentence."""
+    names = ["label", "features", "swapped"]
     for batch in batches:
         label = batch.column(1)
-        for lo, hi, data, offs in text_chunks(batch.column(0)):
-            found, text = features(data, offs)
-            both = np.unique((text << BITS) | found)
-            counts = np.bincount(both >> BITS, minlength=hi - lo)
-            ends = np.r_[0, np.cumsum(counts)].astype(np.int32)
-            values = pa.array((both & ((1 << BITS) - 1)).astype(np.int32))
-            yield pa.RecordBatch.from_arrays([label.slice(lo, hi - lo), pa.ListArray.from_arrays(pa.array(ends), values)],
-                                             names=["label", "features"])
+        for lo, hi, found in _feature_lists(batch.column(0)):
+            none = pa.nulls(hi - lo, pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays([label.slice(lo, hi - lo), found, none], names=names)
+            pairs = [(y, *pair) for y, text in zip(label.slice(lo, hi - lo).to_pylist(), batch.column(0).slice(lo, hi - lo).to_pylist())
+                     for pair in rewrites(text or "")]
+            if pairs:
+                kind, before, after = zip(*pairs)
+                sides = [pa.concat_arrays([x for _, _, x in _feature_lists(pa.array(side, pa.string()))]) for side in (before, after)]
+                yield pa.RecordBatch.from_arrays([pa.array(kind, label.type), *sides], names=names)
 
 
 def _term_features() -> list[np.ndarray]:
@@ -83,8 +128,12 @@ def _term_features() -> list[np.ndarray]:
     return out
 
 
-def fit(label: np.ndarray, counts: np.ndarray, found: np.ndarray, totals: dict[int, int]) -> tuple[np.ndarray, float]:
-    """(weights, intercept) by accelerated proximal gradient steps in a diagonal metric."""
+def fit(label: np.ndarray, counts: np.ndarray, found: np.ndarray, totals: dict[int, int],
+        sides: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, float]:
+    """(weights, intercept) by accelerated proximal gradient steps in a diagonal metric.
+
+    ``counts`` and ``found`` are the features of the documents, ``sides`` those of
+    the sentences and of their rewritings."""
     weights = np.zeros(1 << BITS, np.float32)
     every = totals.get(0, 0) + totals.get(1, 0)
     share = totals.get(1, 0) / every if every else 0.0
@@ -106,28 +155,33 @@ def fit(label: np.ndarray, counts: np.ndarray, found: np.ndarray, totals: dict[i
     doc, live = doc[live >= 0], live[live >= 0]
     m = int(keep.sum())
 
-    use = np.zeros((len(terms) + 1, m), np.float32)           # the last row: no term
-    sentences = np.full(len(terms) + 1, float(SLOTS))
-    for i, t in enumerate(terms):
-        use[i, index[t]] = 1
-        sentences[i] += df[t].min()
-    pair = sentences[:, None] * (1 - np.eye(len(sentences)))   # rewritten sentences by (from, to)
-    pair = (pair + pair.T) / pair.sum()
-    laplace = np.diag(pair.sum(1)) - pair
-    curve = COUNTERFACTUAL * 2
+    pairs = len(sides[0][0])
+    swaps = []                                                  # (sentence, feature) of both sides
+    for sizes, on in sides:
+        row, on = np.repeat(np.arange(pairs), sizes), index[on]
+        swaps.append((row[on >= 0], on[on >= 0]))
+    keys = [row * m + on for row, on in swaps]
+    differ = [np.divmod(np.setdiff1d(keys[i], keys[1 - i]), m) for i in (0, 1)]
+    curve = 2 * COUNTERFACTUAL / max(pairs, 1)
 
     w, b = np.zeros(m), np.log(p / (1 - p))
     # a diagonal bound of the curvature: rare features take long steps, safely
     size = np.bincount(doc, minlength=n) + 1.0
     bend = 0.25 * np.bincount(live, weights=size[doc], minlength=m) / n + 1e-9
-    bend += curve * 2 * np.diag(laplace).max() * (use.sum(1).max() * use.sum(0))
+    many = sum(np.bincount(row, minlength=pairs) for row, _ in differ)
+    for row, on in differ:                                      # a score's slope is at most 1/4
+        bend += curve / 8 * np.bincount(on, weights=many[row], minlength=m)
     bend_b = 0.25 * size.mean()
     look, look_b, t = w.copy(), b, 1.0
     for _ in range(STEPS):
         z = look_b + np.bincount(doc, weights=look[live], minlength=n)
         r = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - label) / n
         grad = np.bincount(live, weights=r[doc], minlength=m)
-        grad += curve * (use.T @ (laplace @ (use @ look)))
+        score = [1 / (1 + np.exp(-np.clip(look_b + np.bincount(row, weights=look[on], minlength=pairs), -30, 30)))
+                 for row, on in swaps]
+        change = curve * (score[0] - score[1])
+        for sign, p_s, (row, on) in zip((1, -1), score, differ):
+            grad += np.bincount(on, weights=(sign * change * p_s * (1 - p_s))[row], minlength=m)
         step = 1 / bend
         new = look - step * grad
         new = np.sign(new) * np.maximum(np.abs(new) - step * L1, 0)
@@ -144,12 +198,18 @@ def fit(label: np.ndarray, counts: np.ndarray, found: np.ndarray, totals: dict[i
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> tuple[np.ndarray, float]:
     sample, totals = training_sample(docs, labels, label, SAMPLE)
-    table = sample.mapInArrow(_training_rows, "label int, features array<int>").toArrow()
-    lists = table.column("features").combine_chunks()
-    if isinstance(lists, pa.ChunkedArray):
-        lists = pa.concat_arrays(lists.chunks) if lists.num_chunks else pa.array([], pa.list_(pa.int32()))
-    counts = np.diff(np.asarray(lists.offsets)) if len(lists) else np.zeros(0, np.int64)
-    return fit(np.asarray(table.column("label")).astype(float), counts, np.asarray(lists.flatten()).astype(np.int64), totals)
+    table = sample.mapInArrow(_training_rows, "label int, features array<int>, swapped array<int>").toArrow()
+    whole = pc.is_null(table.column("swapped"))
+    rows, pairs = table.filter(whole), table.filter(pc.invert(whole))
+    counts, found = _flat(rows.column("features"))
+    return fit(np.asarray(rows.column("label")).astype(float), counts, found, totals,
+               [_flat(pairs.column("features")), _flat(pairs.column("swapped"))])
+
+
+def _flat(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """(size of each list, all their values) of a list column without nulls."""
+    sizes = np.asarray(pc.list_value_length(column)).astype(np.int64)
+    return sizes, np.asarray(pc.list_flatten(column)).astype(np.int64)
 
 
 def score_rows(rows: DataFrame, model: tuple[np.ndarray, float], column: str = "text", name: str = "score") -> DataFrame:

@@ -52,6 +52,36 @@ def test_toxicity_on_held_out_rows_and_neutral_mentions(spark, corpus):
     assert got[1] > 0.5 > got[2] and abs(got[2] - got[4]) < 0.1 and abs(got[2] - got[3]) < 0.1
 
 
+def test_rewritten_sentences():
+    none, swapped = toxicity.rewrites("All Women sing. The rain stays")[::-1]
+    assert swapped[0] == none[0] == "All Women sing" and none[1] == "All  sing"
+    assert swapped[1] != swapped[0] and swapped[1].split()[1] in toxicity.IDENTITY
+    (plain, added), = toxicity.rewrites("womenfolk sing")
+    assert plain == "womenfolk sing" and added.startswith(plain + " ") and added.split()[-1] in toxicity.IDENTITY
+    assert toxicity.rewrites("") == toxicity.rewrites(" .\n!") == []
+    assert len(toxicity.rewrites("men " * 1000)) == 2 * toxicity.SENTENCES
+    assert all(len(a.split()) <= toxicity.STRETCH for a, _ in toxicity.rewrites("men " * 1000))
+
+
+def test_no_mention_raises_a_neutral_score(spark, monkeypatch):
+    """Half of the toxic texts hold nothing telling but 'women'.  Each term in 20
+    clean texts: no score rises by more than 0.05; without the penalty one does."""
+    rows = [(i, text(40, i) + (" women" if i % 6 == 0 else " blorgh" if i % 6 == 3 else ""), int(i % 3 == 0)) for i in range(400)]
+    whole = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    docs, labels = whole.select("doc_id", "text"), whole.select("doc_id", "toxic")
+    plain = [text(40, 2000 + i) for i in range(20)]
+    rows = spark.createDataFrame([(i, j, p + " " + t) for i, p in enumerate(plain) for j, t in enumerate(["", *toxicity.IDENTITY])],
+                                 "doc_id long, term int, text string")
+
+    def rise():
+        found = {(r.doc_id, r.term): r.score for r in toxicity.score_rows(rows, toxicity.train(docs, labels)).collect()}
+        return max(x - found[i, 0] for (i, _), x in found.items())
+
+    assert rise() < 0.05
+    monkeypatch.setattr(toxicity, "COUNTERFACTUAL", 0.0)
+    assert rise() > 0.2
+
+
 def test_passage_features_do_not_depend_on_neighbours():
     a, b = text(150, 3), text(70, 4)
     _, _, data, offs = next(text_chunks(pa.array([a, "", b])))
