@@ -42,7 +42,7 @@ DROPOUT = 0.1
 VARIANTS = 8
 SEED = 1
 LONG = 48
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 META = "▁"
 
 _KEYS = seeds(4, 97) | U(1)
@@ -225,16 +225,20 @@ def encode(model: Pieces, data: np.ndarray, offs: np.ndarray, variant: np.ndarra
     full = np.diff(offs) > 0
     shift = np.cumsum(full)
     raw = np.zeros(len(data) + int(full.sum()), np.uint8)
-    text = np.repeat(np.arange(n), np.diff(offs))
-    raw[np.arange(len(data)) + shift[text]] = data
     heads = (offs[:-1] + np.r_[0, shift[:-1]])[full]
+    own = np.ones(len(raw), bool)
+    own[heads] = False
+    raw[own] = data
     raw[heads] = 0x20
-    lead = np.flatnonzero((raw & 0xC0) != 0x80)              # where characters begin
-    width = np.diff(np.r_[lead, len(raw)])
-    b0 = raw[lead].astype(np.int64)
-    at = [raw[np.minimum(lead + i, len(raw) - 1)].astype(np.int64) & 0x3F for i in (1, 2, 3)]
-    cp = np.where(width == 1, b0, np.where(width == 2, (b0 & 0x1F) << 6 | at[0], np.where(
-        width == 3, (b0 & 0x0F) << 12 | at[0] << 6 | at[1], (b0 & 0x07) << 18 | at[0] << 12 | at[1] << 6 | at[2])))
+    lead = np.flatnonzero((raw & 0xC0) != 0x80).astype(np.int32)   # where characters begin
+    width = np.diff(np.r_[lead, np.int32(len(raw))]).astype(np.int8)
+    cp = raw[lead].astype(np.int32)
+    for size, bits in ((2, 0x1F), (3, 0x0F), (4, 0x07)):
+        several = np.flatnonzero(width == size)
+        code = cp[several] & bits
+        for i in range(1, size):
+            code = code << 6 | raw[lead[several] + i] & 0x3F
+        cp[several] = code
     symbol = model.char[cp]
     odd = symbol < 0
     first = np.zeros(len(raw) + 1, bool)
@@ -244,10 +248,11 @@ def encode(model: Pieces, data: np.ndarray, offs: np.ndarray, variant: np.ndarra
     new[1:] |= (space[1:] & ~space[:-1]) | odd[:-1]
     u = np.flatnonzero(new)                                   # first character of each unit
     chars = np.diff(np.r_[u, len(lead)])
-    start = lead[u] if len(u) else np.zeros(0, np.int64)
+    start = lead[u].astype(np.int64) if len(u) else np.zeros(0, np.int64)
     stop = np.r_[start[1:], len(raw)] if len(u) else start
     owner = np.searchsorted(heads, start, "right") - 1
     owner = np.flatnonzero(full)[owner] if len(u) else owner
+    del own, cp, first, space, new
     keys = span_hash(prefix_hash(raw), start, stop)
     if rate:
         with np.errstate(over="ignore"):
@@ -261,7 +266,7 @@ def encode(model: Pieces, data: np.ndarray, offs: np.ndarray, variant: np.ndarra
     got, counts[plain] = _merge_units(model, symbol[flat[np.repeat(plain, sizes)]], sizes[plain], units[plain], rate)
     # an odd character stands alone, as its bytes
     other = np.flatnonzero(~plain)
-    wide = width[u[sample[other]]]
+    wide = width[u[sample[other]]].astype(np.int64)
     counts[other] = wide
     ids = np.zeros(int(counts.sum()), np.int64)
     place = np.r_[0, np.cumsum(counts)][:-1]
