@@ -2,10 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from barsight.operators.panel import fresh_carry, numbers, panel_step, panels, side_by_side
 
 DEFAULT_HISTORY = 300
+VALUES = ["date", "open", "high", "low", "close", "volume"]
+OUT_ROWS = 1 << 14  # rows of a batch of histories
 
 
 def valid_requests(requests: DataFrame, ticker: str = "ticker", date: str = "date") -> DataFrame:
@@ -13,48 +22,90 @@ def valid_requests(requests: DataFrame, ticker: str = "ticker", date: str = "dat
     return requests.where(F.col(ticker).isNotNull() & F.col(date).isNotNull())
 
 
+def request_stream(prices: DataFrame, requests: DataFrame, ticker: str = "ticker", date: str = "date") -> DataFrame:
+    """Bars and distinct valid requests as one stream: rows of a ticker stand
+    together, by date, bars before the requests of their date.  ``_end`` is the
+    number of the newest bar so far (-1: none), ``target_date`` is null for bars."""
+    req = (valid_requests(requests, ticker, date)
+           .select(F.col(ticker).alias("ticker"), F.col(date).cast("date").alias("target_date"))
+           .distinct())
+    bars = prices.where(F.col("close").isNotNull()).select("ticker", *VALUES, F.lit(None).cast("date").alias("target_date"))
+    types = dict(bars.dtypes)
+    stream = bars.unionByName(req.select("ticker", F.col("target_date").alias("date"), "target_date",
+                                         *[F.lit(None).cast(types[c]).alias(c) for c in VALUES[1:]]))
+    upto = Window.partitionBy("ticker").orderBy("date", F.col("target_date").asc_nulls_first()).rowsBetween(
+        Window.unboundedPreceding, 0)
+    return stream.withColumn("_end", F.count(F.when(F.col("target_date").isNull(), F.lit(1))).over(upto) - 1)
+
+
+def asked_stretches(batches, limit: int) -> Iterator[tuple[pa.Table, pa.Table, np.ndarray, np.ndarray]]:
+    """(requests, bars, starts, lengths) of the batches of a :func:`request_stream`:
+    each request's newest ``limit`` bars are a stretch of the bars.  Of the batches
+    before, the last ``limit`` bars are held, whatever the number of requests."""
+    held = None
+    for batch in batches:
+        rows = pa.Table.from_batches([batch])
+        mine = np.asarray(rows["target_date"].is_null())
+        bars = rows.filter(pa.array(mine))
+        bars = bars if held is None else pa.concat_tables([held, bars])
+        asked = ~mine & (np.asarray(rows["_end"]) >= 0)
+        if asked.any():
+            lengths = np.minimum(np.asarray(rows["_end"])[asked] + 1, limit)
+            newest = np.cumsum(mine)[asked] - 1 + bars.num_rows - int(mine.sum())
+            yield rows.filter(pa.array(asked)), bars, newest - lengths + 1, lengths
+        held = bars.slice(max(0, bars.num_rows - limit)).combine_chunks()
+
+
 def history_asof(prices: DataFrame, requests: DataFrame, limit: int = DEFAULT_HISTORY,
                  ticker: str = "ticker", date: str = "date") -> DataFrame:
     """For every distinct valid request ``(ticker, target_date)`` the newest
     ``limit`` bars with ``date <= target_date``.
 
-    Plan (one exchange, by ticker; no join):
-
-    1. bars and requests form one stream per ticker; a running ``last(rn)``
-       gives each request ``end``, the number of its newest eligible bar (bars
-       sort before a request on the same date);
-    2. every row is expanded in place: a bar into itself, a request into its
-       exact bar numbers ``end-limit+1 .. end`` (output-sized, no cap);
-    3. ordered by ``(rn, kind)``, each expanded request row takes the bar
-       columns from the bar with the same number through a running
-       ``last(..., ignorenulls)`` — O(1) per row.
-
-    The expanded rows are never shuffled and stay partitioned by ticker, so a
-    feature plan keyed by ``(ticker, target_date)`` needs no new exchange.
-    No requests x bars theta join.
+    Plan (one exchange, by ticker; no join): bars and requests form one stream per
+    ticker, in which each request knows the number of its newest bar; the tasks
+    read it in order, hold the last ``limit`` bars and write for each request its
+    stretch of them.  The copies are neither sorted nor shuffled nor gathered.
 
     Output: ``ticker, target_date, date, open, high, low, close, volume``.
     """
-    values = ["date", "open", "high", "low", "close", "volume"]
-    req = (valid_requests(requests, ticker, date)
-           .select(F.col(ticker).alias("ticker"), F.col(date).cast("date").alias("target_date"))
-           .distinct())
-    bars = prices.where(F.col("close").isNotNull()).select("ticker", *values)
-    stream = (bars.select("ticker", *values, F.lit(0).alias("_kind"),
-                          F.lit(None).cast("date").alias("target_date"))
-              .unionByName(req.select("ticker", F.col("target_date").alias("date"),
-                                      *[F.lit(None).cast("double").alias(c) for c in values[1:]],
-                                      F.lit(1).alias("_kind"), "target_date")))
-    upto = Window.partitionBy("ticker").orderBy("date", "_kind").rowsBetween(Window.unboundedPreceding, 0)
-    bar_no = F.count(F.when(F.col("_kind") == 0, F.lit(1))).over(upto) - 1  # newest bar <= date
-    stream = stream.withColumn("_end", bar_no)
-    span = F.sequence(F.greatest(F.col("_end") - F.lit(limit - 1), F.lit(0)), F.col("_end"))
-    slots = F.when(F.col("_kind") == 0, F.array(F.col("_end"))).when(F.col("_end") >= 0, span) \
-        .otherwise(F.array().cast("array<bigint>"))
-    expanded = stream.select("ticker", "target_date", "_kind", *values,
-                             F.explode(slots).alias("rn"))
-    at = Window.partitionBy("ticker").orderBy("rn", "_kind").rowsBetween(Window.unboundedPreceding, 0)
-    filled = expanded.select("ticker", "target_date", "_kind",
-                             *[F.last(F.when(F.col("_kind") == 0, F.col(c)), ignorenulls=True).over(at)
-                               .alias(c) for c in values])
-    return filled.where(F.col("_kind") == 1).select("ticker", "target_date", *values)
+    stream = request_stream(prices, requests, ticker, date)
+    names = ["ticker", "target_date", *VALUES]
+
+    def expand(batches):
+        for asked, bars, starts, lengths in asked_stretches(batches, limit):
+            step = max(1, OUT_ROWS // limit)
+            for lo in range(0, len(starts), step):
+                some = lengths[lo:lo + step]
+                before = np.cumsum(some) - some
+                places = np.repeat(starts[lo:lo + step] - before, some) + np.arange(some.sum())
+                heads = asked.slice(lo, step).select(["ticker", "target_date"]).take(pa.array(np.repeat(np.arange(len(some)), some)))
+                values = bars.select(VALUES).take(pa.array(places))
+                yield from pa.table([*heads.columns, *values.columns], names=names).combine_chunks().to_batches()
+
+    fields = {f.name: f for f in stream.schema.fields}
+    return stream.mapInArrow(expand, T.StructType([T.StructField(c, fields[c].dataType) for c in names]))
+
+
+def last_features(stream: DataFrame, limit: int, least: int, names: list[str]) -> DataFrame:
+    """I31 at the newest bar of each request of a :func:`request_stream` that has at
+    least ``least`` bars, from its newest ``limit`` bars alone: ``ticker,
+    target_date, close, volume`` and the features ``names``."""
+    head = ["ticker", "target_date", "close", "volume"]
+
+    def features(batches):
+        for asked, bars, starts, lengths in asked_stretches(batches, limit):
+            enough = lengths >= least
+            asked, starts, lengths = asked.filter(pa.array(enough)), starts[enough], lengths[enough]
+            values = [numbers(bars[c]) for c in ("high", "low", "close", "volume")]
+            out = {name: np.empty(len(starts)) for name in names}
+            for some, places, mine in side_by_side(starts, lengths):
+                found, _, _ = panel_step(np.zeros((4, 0, len(some))), fresh_carry(len(some)), panels(values, places, mine))
+                for name in names:
+                    out[name][some] = found[name][lengths[some] - 1, np.arange(len(some))]
+            newest = bars.select(["close", "volume"]).take(pa.array(starts + lengths - 1))
+            columns = [asked["ticker"], asked["target_date"], *newest.columns, *[pa.array(out[n], from_pandas=True) for n in names]]
+            yield from pa.table(columns, names=[*head, *names]).combine_chunks().to_batches()
+
+    fields = {f.name: f for f in stream.schema.fields}
+    return stream.mapInArrow(features, T.StructType([T.StructField(c, fields[c].dataType) for c in head]
+                                                    + [T.StructField(c, T.DoubleType()) for c in names]))

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barsight.functions.columns import coerce_float, complete_rows, null_nonfinite
-from barsight.operators.asof import DEFAULT_HISTORY, history_asof
+from barsight.operators.asof import DEFAULT_HISTORY, last_features, request_stream
 from barsight.operators.indicators import FEATURES, feature_set
 from barsight.operators.labels import with_labels
 from barsight.session import ensure_checkpoint_dir
@@ -95,11 +95,9 @@ def service_rows(prices: DataFrame, requests: DataFrame, limit: int = DEFAULT_HI
                  min_bars: int = SERVICE_MIN_HISTORY) -> DataFrame:
     """X1 core (S2 -> I31 by (ticker, target_date) -> P14): one feature row per
     valid request whose history has at least ``min_bars`` bars.  Features are
-    computed on the truncated history, exactly like the per-request service;
-    non-finite values become NULL."""
-    hist = history_asof(prices, requests, limit)
-    fs = feature_set(hist, by=["ticker", "target_date"], t="date")
-    last = fs.where((F.col("n_bars") >= min_bars) & (F.col("rn") == F.col("n_bars") - 1))
+    computed on the truncated history, exactly like the per-request service, and
+    kept for its last bar; non-finite values become NULL."""
+    last = last_features(request_stream(prices, requests), limit, min_bars, FEATURES)
     last = null_nonfinite(last, FEATURES)
     return last.select(*FEATURES, F.col("close").alias("close_price"), "volume", "ticker",
                        F.date_format("target_date", "yyyy-MM-dd").alias("date"))
