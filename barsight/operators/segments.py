@@ -15,22 +15,31 @@ into segments of a fixed number of bars that are worked on apart:
   the segments before, ``R = r^segment``.  Powers below the smallest double are
   zero, so the few terms above it (18 for the slowest rate) are all there are.
 
-Segments are a single block of the scan, so no row carries an array.
+The task of a segment goes through its bars in panels (:mod:`barsight.operators.panel`);
+:func:`segment_scans` is the same carry for a single scan in windows.
 """
 
 from __future__ import annotations
 
 import math
 
+import numpy as np
+import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from barsight.operators.indicators import _SMA, derive, differences, level_one, level_two, projection
-from barsight.operators.series import _fold, block_lags, cumulative, window_total
-from barsight.session import ensure_checkpoint_dir
+from barsight.operators.indicators import FEATURES, OUT_ROWS, feature_schema
+from barsight.operators.ordering import stored
+from barsight.operators.panel import (
+    CARRIES, LEVEL1, LEVEL2, RATE1, RATE2, fresh_carry, numbers, panel_step, panels, side_by_side, whole_series,
+)
+from barsight.operators.series import _fold, cumulative
 
 SEGMENT = 1024   # bars of a segment; r ** -SEGMENT must stay finite
 HALO = 256       # bars copied from the segment before; the longest rolling window has 200
+ROWS_OF_A_TASK = 1_000_000
 SMALLEST = 745   # exp(-745) is the smallest positive double
 _IN_PARTITION = (1 << 33) - 1
 
@@ -39,16 +48,14 @@ def number_long_series(df: DataFrame, by: list[str], t: str, partitions: int | N
     """``_key`` (the ``by`` columns; a null key is a series too), ``rn`` (0-based bar
     number) and ``n_bars`` of every row, without a task that holds a whole series.
 
-    The range layout is checkpointed: its bounds are sampled, and both the sizes
-    and the numbers must come from the same partitions, also after a loss."""
-    ensure_checkpoint_dir(df.sparkSession)
+    The range layout is stored: its bounds are sampled, and both the sizes and the
+    numbers must come from the same partitions, also after a loss."""
     key = F.struct(*[F.col(c) for c in by])
     order = [*[F.col(c).asc() for c in by], F.col(t).asc()]
     ranged = df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
-    ranged = (ranged.sortWithinPartitions(*order)
-              .select("*", key.alias("_key"), F.spark_partition_id().alias("_pid"),
-                      F.monotonically_increasing_id().bitwiseAND(F.lit(_IN_PARTITION)).alias("_at"))
-              .checkpoint())
+    ranged = stored(ranged.sortWithinPartitions(*order)
+                    .select("*", F.spark_partition_id().alias("_pid"),
+                            F.monotonically_increasing_id().bitwiseAND(F.lit(_IN_PARTITION)).alias("_at"))).withColumn("_key", key)
     pieces = ranged.groupBy("_pid", "_key").agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"))
     series = Window.partitionBy("_key")
     earlier = series.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
@@ -84,11 +91,6 @@ def _carry(df: DataFrame, ends: dict[str, Column], carried: dict[str, Column]) -
     return df.join(table, ["_key", "_seg"])
 
 
-def _counts_and_sums(df: DataFrame, counts: dict[str, str], sums: dict[str, str]) -> DataFrame:
-    ends = {**{n: F.count(x) for n, x in counts.items()}, **{n: F.sum(x) for n, x in sums.items()}}
-    return _carry(df, ends, {n: F.coalesce(F.sum(n).over(_earlier()), F.lit(0)) for n in ends})
-
-
 def segment_scans(df: DataFrame, specs: list[tuple[str, Column, float]], segment: int = SEGMENT) -> DataFrame:
     """W7 over split series: ``y_t = r * y_{t-1} + b_t`` (null ``b`` counts as 0; rows
     that are not ``_own`` must have none) for every ``(name, b, r)``, 0 < r < 1."""
@@ -108,46 +110,113 @@ def segment_scans(df: DataFrame, specs: list[tuple[str, Column, float]], segment
     return df.select("*", *out).drop(*[c.format(n) for n, _b, _r in specs for c in ("_u_{}", "_y_{}")])
 
 
+def _segment_marks(rows, segment: int, halo: int) -> np.ndarray:
+    """Which rows are the first of a segment, its halo included."""
+    return np.asarray(rows["rn"]) == np.maximum(np.asarray(rows["_seg"]) * segment - halo, 0)
+
+
+def _segment_panels(table: pa.Table, segment: int, halo: int):
+    """(first own rows, panel's segments, rows of the cells, mine, tail, carry, new) of
+    each panel of a table of whole segments; carries stand in columns ``_c_<name>``."""
+    values = [numbers(table[c]) for c in ("high", "low", "close", "volume")]
+    own = np.asarray(table["_own"])
+    firsts = np.flatnonzero(_segment_marks(table, segment, halo))
+    owned = np.add.reduceat(own.astype(np.int64), firsts)
+    seg = np.asarray(table["_seg"])[firsts]
+    starts = firsts + np.where(seg > 0, halo, 0)
+    carry = fresh_carry(len(firsts))
+    for at, name in enumerate(CARRIES):
+        if f"_c_{name}" in table.column_names:
+            carry[at] = numbers(table[f"_c_{name}"].take(pa.array(firsts)))
+    carry[CARRIES.index("bars")] = seg * segment
+    for some, places, mine in side_by_side(starts, owned):
+        before = starts[some] - halo + np.arange(halo)[:, None]
+        there = np.broadcast_to(seg[some] > 0, before.shape)
+        tail = panels(values, np.where(there, before, 0), there)
+        yield starts, some, places, mine, tail, carry[:, some], panels(values, places, mine)
+
+
+def _segment_ends(df: DataFrame, stage: str, names: list[str], segment: int, halo: int) -> DataFrame:
+    """``names`` at the end of each segment, (_key, _seg, ...), as far as ``stage``."""
+    def ends(batches):
+        for table in whole_series(batches, lambda batch: _segment_marks(batch, segment, halo)):
+            for starts, some, _, _, tail, carry, new in _segment_panels(table, segment, halo):
+                found = panel_step(tail, carry, new, until=stage)
+                heads = table.select(["_key", "_seg"]).take(pa.array(starts[some]))
+                columns = [*heads.columns, *[pa.array(found[n], from_pandas=True) for n in names]]
+                yield from pa.table(columns, names=["_key", "_seg", *names]).combine_chunks().to_batches()
+
+    fields = {f.name: f for f in df.schema.fields}
+    return df.mapInArrow(ends, T.StructType([fields["_key"], fields["_seg"]] + [T.StructField(n, T.DoubleType()) for n in names]))
+
+
+def _totals(names: list[str]) -> dict[str, Column]:
+    return {n: F.coalesce(F.sum(n).over(_earlier()), F.lit(0.0)) for n in names}
+
+
+def _decayed(names: list[str], rates, segment: int) -> dict[str, Column]:
+    """What decayed sums are at the end of the segment before, from all ends before."""
+    out = {}
+    for name, r in zip(names, rates):
+        terms = math.ceil(SMALLEST / (-segment * math.log(r)))
+        out[name] = F.aggregate(F.collect_list(name).over(_earlier(terms)), F.lit(0.0), _fold(float(r) ** segment))
+    return out
+
+
+def segment_carries(df: DataFrame, segment: int) -> DataFrame:
+    """(_key, _seg, ``_c_<name>``): the carries before each segment of ``df``, rows of
+    :func:`split_series` with a halo of 1.  Four stages over the same rows: counts
+    and sums of the seeds, averages, counts and sums of what the averages give, and
+    averages of these.  What a stage hands on is a row per segment, stored."""
+    n = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(df.count() / ROWS_OF_A_TASK))
+    rows = (df.select("_key", "_seg", "_own", "rn", "high", "low", "close", "volume")
+            .repartition(n, "_key", "_seg").sortWithinPartitions("_key", "_seg", "rn").persist(StorageLevel.DISK_ONLY))
+    counts, sums = ["n_close", "n_range", "n_gain", "n_plus"], ["s_close", "s_range", "obv"]
+    totals = ["n_macd", "s_macd", "n_dx"]
+    volume = {"last_volume": F.last("last_volume", ignorenulls=True).over(_earlier())}
+    stages = [("counts", [*counts, *sums, "last_volume"], {**_totals([*counts, *sums]), **volume}),
+              ("level1", LEVEL1, _decayed(LEVEL1, RATE1, segment)), ("totals", totals, _totals(totals)),
+              ("level2", LEVEL2, _decayed(LEVEL2, RATE2, segment))]
+    carries = None
+    for stage, names, carried in stages:
+        known = rows if carries is None else rows.join(carries, ["_key", "_seg"]).sortWithinPartitions("_key", "_seg", "rn")
+        ends = _segment_ends(known, stage, names, segment, 1)
+        found = ends.select("_key", "_seg", *[c.alias(f"_c_{n}") for n, c in carried.items()])
+        carries = stored(found if carries is None else carries.join(found, ["_key", "_seg"]))
+    rows.unpersist()
+    return carries
+
+
 def long_feature_set(prices: DataFrame, by: list[str] | tuple = ("ticker",), t: str = "date",
                      segment: int = SEGMENT, keep: list[str] | None = None, partitions: int | None = None) -> DataFrame:
     """I31 as :func:`feature_set`, its rows and columns, for series of any length.
 
     Empty input gives no rows.  Rows of one (``by``, ``t``) count as bars of their
-    own, in no stated order.  One exchange deals the segments; every window is
-    inside a segment.  The rows are cut once, after the level-1 scans."""
+    own, in no stated order.  Only the numbered bars and the carries of the
+    segments are stored; the rows with their halos are dealt once, for the last
+    stage, and stream through it."""
     by, keep = list(by), list(keep or [])
     if segment < HALO:
         raise ValueError(f"a segment must hold the halo of {HALO} bars")
     bars = prices.select(*by, t, "open", "high", "low", "close", "volume", *keep)
-    df = split_series(number_long_series(bars, by, t, partitions), segment)
-    part, own = ["_key", "_seg"], F.col("_own")
-    place = F.col("rn") - F.greatest(F.col("_seg") * segment - HALO, F.lit(0))  # in the segment, its halo included
-    df = df.select("*", F.lit(0).alias("_blk"), place.alias("_off")).select("*", *differences(part))
-
-    df = df.withColumn("_volume_at", F.when(F.col("volume").isNotNull(), F.col("rn")))
-    counts = {"n_close": "close", "n_tr": "_tr", "n_gain": "_gain", "n_pdm": "_pdm"}
-    sums = {"s_close": "close", "s_tr": "_tr", "s_sv": "_sv"}
-    ends = {**{n: F.count(x) for n, x in counts.items()}, **{n: F.sum(x) for n, x in sums.items()},
-            "last_volume": F.max_by("volume", "_volume_at")}
-    carried = {n: F.coalesce(F.sum(n).over(_earlier()), F.lit(0)) for n in (*counts, *sums)}
-    carried["last_volume"] = F.last("last_volume", ignorenulls=True).over(_earlier())
-    df = _carry(df, ends, carried).withColumn("_vpad", F.coalesce("_vpad", "last_volume"))
-    stage_b, scans = level_one(part, own, {n: F.col(n) for n in (*counts, *sums)})
-    df = segment_scans(df.select("*", *stage_b), scans, segment)
-    df = derive(df.drop(*counts, *sums, "last_volume", "_volume_at")).checkpoint()
-
-    df = _counts_and_sums(df, {"n_macd": "macd_12_26_9", "n_dx": "_dx"}, {"s_macd": "macd_12_26_9"})
-    stage_e, level2 = level_two(part, own, {n: F.col(n) for n in ("n_macd", "s_macd", "n_dx")})
-    totals = []
-    for name, column in (("c", "close"), ("v", "volume")):
-        running = cumulative(part)
-        totals += [F.sum(F.coalesce(F.col(column), F.lit(0.0))).over(running).alias(f"_cs_{name}"),
-                   F.count(column).over(running).alias(f"_cc_{name}"),
-                   F.lit(0.0).alias(f"_csp_{name}"), F.lit(0).alias(f"_ccp_{name}")]  # no block before
-    df = df.select("*", *stage_e, *totals)
-    df = df.select("*", *[c for n in _SMA for c in block_lags("c", part, n)], *block_lags("v", part, 20))
-    df = segment_scans(df, level2, segment).where("_own")
-
-    smas = {n: F.when(window_total("c", n, "cc") == n, window_total("c", n) / F.lit(float(n))) for n in _SMA}
-    vsma20 = F.when(window_total("v", 20, "cc") == 20, window_total("v", 20) / F.lit(20.0))
-    return df.select(*projection(by, t, keep, smas, vsma20))
+    numbered = number_long_series(bars, by, t, partitions)
+    carries = segment_carries(split_series(numbered, segment, 1), segment)
+    dealt = split_series(numbered, segment).repartition("_key", "_seg")  # also where the carries are broadcast
+    df = dealt.join(carries, ["_key", "_seg"]).sortWithinPartitions("_key", "_seg", "rn")
+    made = [*FEATURES, "atrr_3"]
+    schema = feature_schema(df, by, t, keep)
+    names = schema.names
+
+    def features(batches):
+        for table in whole_series(batches, lambda batch: _segment_marks(batch, segment, HALO)):
+            ahead = np.r_[numbers(table["close"])[1:], np.nan]
+            ahead[np.flatnonzero(_segment_marks(table, segment, HALO))[1:] - 1] = np.nan
+            for _, _, places, mine, tail, carry, new in _segment_panels(table, segment, HALO):
+                found, _, _ = panel_step(tail, carry, new)
+                at, own = places.T[mine.T], mine.T
+                rows = table.take(pa.array(at))
+                found = {"next_close": ahead[at], **{c: found[c].T[own] for c in made}}
+                columns = [pa.array(found[c], from_pandas=True) if c in found else rows[c] for c in names]
+                yield from pa.table(columns, names=names).combine_chunks().to_batches(max_chunksize=OUT_ROWS)
+
+    return df.mapInArrow(features, schema)

@@ -124,3 +124,17 @@ def test_scans_over_segments_and_bad_rates(spark):
         assert math.isclose(r["y"], y, rel_tol=1e-10, abs_tol=1e-10)
     with pytest.raises(ValueError):
         segment_scans(split, [("y", mine, 0.01)], 256)
+
+
+def test_a_bar_takes_little_room_on_disk(spark):
+    """Only numbered bars and carries are stored, not the rows of all stages with their halos."""
+    from pathlib import Path
+    from urllib.parse import urlparse
+    folder = Path(urlparse(spark.sparkContext.getCheckpointDir()).path)
+
+    def used():
+        return sum(p.stat().st_size for p in [*folder.rglob("*"), *folder.parent.glob("stored-*/*")] if p.is_file())
+
+    bars, before = spark.createDataFrame(minute_bars(40_000, 6)), used()
+    assert long_feature_set(bars, segment=256, partitions=4).count() == 40_000
+    assert used() - before < 200 * 40_000
