@@ -29,3 +29,12 @@ def test_bad_rates(spark, tmp_path):
         fill_outbox(spark.range(1), f"{tmp_path}/outbox", 0)
     with pytest.raises(ValueError):
         start_emission(spark, f"{tmp_path}/a", f"{tmp_path}/b", f"{tmp_path}/c", spark.range(1).schema, 1, items_per_second=0)
+
+
+def test_what_is_there_goes_out_in_few_triggers(spark, tmp_path):
+    items = spark.range(60).selectExpr("concat('K', id) AS key", "id")
+    fill_outbox(items.coalesce(1), f"{tmp_path}/outbox", 2)
+    q = start_emission(spark, f"{tmp_path}/outbox", f"{tmp_path}/topic", f"{tmp_path}/ck", items.schema, 2, available_now=True)
+    q.awaitTermination()
+    assert len([p for p in q.recentProgress if p["numInputRows"]]) == 1
+    assert spark.read.schema(items.schema).json(f"{tmp_path}/topic").distinct().count() == 60
