@@ -5,7 +5,8 @@ import numpy as np
 
 from barsight.llm.common import components, global_index
 from barsight.llm.near_dedup import keep_one, link_documents, sketch
-from barsight.llm.passages import WORDS, compact_windows, good_runs, repeated_passages, without_repeats
+from barsight.llm.passages import WORDS, compact_windows, dense_ends, good_runs, repeated_passages, two_function_keys, without_repeats
+from barsight.llm.textarrays import mix
 from tests.llm.conftest import text, words
 
 
@@ -146,6 +147,53 @@ def test_word_for_word_holders_behind_variants_are_found(spark):
     assert (60, 50) in got and not any(i >= 100 for i, _ in got)
 
 
+def test_word_for_word_holders_with_variants_between_them_are_found(spark):
+    base = words(60, 31)
+    variant = lambda i: edited(base, [5 + i % 3, 20 + i, 47 - i % 4], 300 + i)
+    rows = [(i, variant(i) + " " + text(40, 400 + i)) for i in range(10)]
+    rows += [(50, text(30, 32) + " " + " ".join(base)), (80, " ".join(base) + " " + text(35, 33))]
+    rows += [(60 + i, text(20, 500 + i) + " " + variant(i)) for i in range(10)]
+    got = {(r.doc_id, r.source_id) for r in repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert (80, 50) in got
+
+
+def test_keys_of_two_functions_hold_every_common_passage():
+    rng = np.random.default_rng(9)
+    for n, kinds in ((90, 1000), (130, 6), (160, 2)):
+        x = rng.integers(0, kinds, n)
+        f, sig, c, l, r = (np.concatenate(y) for y in zip(*(
+            (np.full(len(w[0]), k), (v[w[1]] + k).astype(np.int64), w[1], w[0], w[2])
+            for k, v in enumerate(rng.permutation(1 << 20)[:kinds][x].astype(np.uint64) << np.uint64(30) for _ in range(3))
+            for w in [compact_windows(v, np.array([0]), np.array([n]))])))
+        on = np.ones(len(f), bool)
+        key, lo, hi, a0, a1, b0, b1, left = two_function_keys(sig, f, c, l, r, on, on, at_once=7)
+        assert left.all()
+        found = set()
+        for g, h in ((0, 1), (0, 2), (1, 2)):
+            for s in range(n - 45):
+                for e in range(s + 45, min(n, s + 121)):
+                    i, j = (np.flatnonzero((f == k) & (l <= s) & (s <= c) & (c <= e) & (e <= r)) for k in (g, h))
+                    assert len(i) == len(j) == 1
+                    found.add((int(sig[i[0]]), int(sig[j[0]]), s, e))
+        of = {}
+        for k, x0, x1 in zip(key.tolist(), lo.tolist(), hi.tolist()):
+            of.setdefault(k, []).append((x0, x1))
+        for p, q, s, e in found:
+            mine = mix(np.array([p]).view(np.uint64) ^ mix(np.array([q]).view(np.uint64))).view(np.int64)[0]
+            assert any(x0 <= s and e <= x1 for x0, x1 in of[int(mine)])
+
+
+def test_dense_ends_by_brute_force():
+    rng = np.random.default_rng(4)
+    at = np.r_[np.arange(130), np.arange(200, 420)]
+    shared = (rng.random(len(at)) < np.repeat(rng.random(len(at) // 50 + 1), 50)[:len(at)] + 0.3).astype(np.int64)
+    ends = dense_ends(at, shared)
+    for i in range(0, len(at), 7):
+        every = [at[x + n - 1] for x in range(i, len(at)) for n in range(46, 92) if x + n <= len(at)
+                 and at[x + n - 1] - at[x] == n - 1 and shared[x:x + n].sum() >= 0.75 * n]
+        assert ends[i] == (min(every) if every else np.iinfo(np.int64).max)
+
+
 def test_every_text_of_a_doc_id_takes_part_and_keeps_what_is_its_own(spark):
     shared = " ".join(words(80, 41))
     rows = [(1, text(200, 42)), (1, shared + " " + text(30, 43)), (2, text(40, 44) + " " + shared), (3, text(200, 45))]
