@@ -35,7 +35,7 @@ from pyspark.sql import types as T
 
 from barsight.llm.common import fresh, held_out, read, same_fields
 from barsight.llm.labelled import training_sample
-from barsight.llm.textarrays import LOWER, PUNCT, U, find_words, list_column, mix, prefix_hash, seeds, span_hash, text_chunks
+from barsight.llm.textarrays import LOWER, PUNCT, U, find_words, give_back, list_column, mix, prefix_hash, seeds, span_hash, text_chunks
 
 SAMPLE = {1: 4000, 0: 8000}
 BITS = 18
@@ -201,9 +201,14 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> tuple[np.
     table = sample.mapInArrow(_training_rows, "label int, features array<int>, swapped array<int>").toArrow()
     whole = pc.is_null(table.column("swapped"))
     rows, pairs = table.filter(whole), table.filter(pc.invert(whole))
+    del table
     counts, found = _flat(rows.column("features"))
-    return fit(np.asarray(rows.column("label")).astype(float), counts, found, totals,
-               [_flat(pairs.column("features")), _flat(pairs.column("swapped"))])
+    label, sides = np.asarray(rows.column("label")).astype(float), [_flat(pairs.column(x)) for x in ("features", "swapped")]
+    del rows, pairs
+    model = fit(label, counts, found, totals, sides)
+    del counts, found, label, sides
+    give_back()                                                 # the driver runs on: what it keeps counts against it
+    return model
 
 
 def _flat(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
