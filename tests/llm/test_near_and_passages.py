@@ -6,7 +6,8 @@ import numpy as np
 from barsight.llm.common import components, global_index
 from barsight.llm.near_dedup import keep_one, link_documents, sketch
 from barsight.llm.passages import WORDS, compact_windows, dense_ends, good_runs, repeated_passages, two_function_keys, without_repeats
-from barsight.llm.textarrays import mix
+from barsight.llm.passages import gains, indexed, may_hold, may_meet, recurring, shared_runs
+from barsight.llm.textarrays import mix, shingles
 from tests.llm.conftest import text, words
 
 
@@ -220,3 +221,48 @@ def test_passages_defined_cases(awkward, no_documents):
     rows = {r.doc_id: r for r in out.collect()}
     assert 2 not in rows and rows[3].text is None and rows[4].text == "" and rows[9].n_chars == len(rows[9].text)
     assert repeated_passages(no_documents).count() == 0 and without_repeats(no_documents).count() == 0
+
+
+def test_no_near_passage_is_ruled_out():
+    rng, met = np.random.default_rng(12), 0
+    for trial in range(150):
+        w = rng.integers(0, (9, 40, 4000)[trial % 3], 140).astype(np.uint64)
+        other = w.tolist()
+        for _ in range(rng.integers(1, 8)):
+            x, n = int(rng.integers(0, len(other))), int(rng.integers(0, 4))
+            other[x:x + int(rng.integers(0, 4))] = (9000 + rng.integers(0, 99, n)).tolist() if rng.random() < 0.5 else w[x:x + n].tolist()
+        words_of = [mix(w + np.uint64(7)), mix(np.array(other, np.uint64) + np.uint64(7))]
+        a, b = (shingles(x, np.zeros(len(x), np.int64))[0] for x in words_of)
+        again = recurring(words_of[0], np.zeros(len(w), np.int64), 1 << 40)
+        anchors = np.flatnonzero(np.isin(a, b)).tolist()
+        found = shared_runs(a, indexed(b), anchors)
+        assert found == shared_runs(a, indexed(b), anchors, again)
+        begin, end = gains(np.arange(len(a)), np.isin(a, b), again[:len(a)])
+        for x, y, _, _ in found:
+            met += 1
+            one = lambda v: np.array([v])
+            assert may_hold(begin, end, one(x), one(y), one(x), one(y)).all()
+    assert met > 60
+
+
+def test_texts_that_every_other_one_leaves_hopeless_are_ruled_out():
+    shared = np.array([c == "#" for c in "#" * 14 + "." * 5 + "#" * 21 + "." * 5 + "#" * 9 + "." * 5 + "#" * 22])
+    n, none = len(shared), np.zeros(len(shared), np.int8)
+    assert may_meet(n, shared, none, [2, 45, 70]).tolist() == [False, False, False]
+    assert may_meet(n, np.r_[shared[:40], np.ones(n - 40, bool)], none, [2, 45, 70]).all()
+    begin, end = gains(np.arange(n), shared, none)
+    ranges = np.array([[0, 5, 30, n - 1], [20, 60, 25, n - 1], [0, 80, 60, n - 1]])
+    assert not may_hold(begin, end, *ranges.T).any()
+    begin, end = gains(np.arange(n), np.ones(n, bool), none)
+    assert may_hold(begin, end, *ranges.T).all()
+
+
+def test_a_pair_is_compared_once(spark, monkeypatch):
+    from barsight.llm import passages
+    seen, pairs = [], passages._pairs
+    monkeypatch.setattr(passages, "_pairs", lambda *x: seen.append(pairs(*x)) or seen[-1])
+    base = words(150, 71)
+    rows = [(i, edited(base, list(range(i % 23, 150, 23)), 900 + i)) for i in range(40)]
+    repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).count()
+    met = [(r.doc_id, r.source_id) for x in seen for r in x.collect()]
+    assert len(met) == len(set(met))
