@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barsight.llm.common import cut, fresh, read, small_join
+from barsight.llm.common import cut, fresh, passing, read, small_join
 from barsight.llm.settle import settle, with_copies
 from barsight.llm.textarrays import U, list_column, mix, seeds, shingles, text_chunks, word_hashes
 
@@ -127,10 +127,10 @@ def link_documents(docs: DataFrame) -> DataFrame:
 def keep_one(docs: DataFrame) -> DataFrame:
     """Rows of ``docs`` without the near-duplicates of a smaller doc_id, and one
     row of those that share a doc_id; all columns stay."""
-    linked = link_documents(docs.select("doc_id", "text"))
-    linked = cut(linked)
-    drop = cut(linked.where(~F.col("kept")).select("doc_id").distinct())
-    twice = cut(linked.where("kept and doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"))
+    with passing(docs.sparkSession) as keep:
+        linked = cut(link_documents(docs.select("doc_id", "text")))
+        drop = keep(cut(linked.where(~F.col("kept")).select("doc_id").distinct()))
+        twice = keep(cut(linked.where("kept and doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")))
     key = fresh("doc_key", docs)
     keyed = docs.withColumn(key, F.col("doc_id").cast("long"))
     out = small_join(keyed, drop.withColumnRenamed("doc_id", key), key, "left_anti")
